@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from sablefin.llm import secrets, simhash
+from sablefin.llm import mixing, quality, secrets, simhash
 
 QUERIES = {
+    "op1_mix": mixing.op1_mix,
     "op2_secrets": secrets.op2_secrets,
+    "op3_quality": quality.op3_quality,
     "op9_simhash": simhash.op9_simhash,
 }
 ORACLE_SQL = {
     "op2_secrets": secrets.ORACLE,
+    "op3_quality": quality.ORACLE,
 }
