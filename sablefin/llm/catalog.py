@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from sablefin.llm import mixing, quality, secrets, simhash
+from sablefin.llm import mixing, packing, quality, secrets, simhash, tokens
 
 QUERIES = {
     "op1_mix": mixing.op1_mix,
     "op2_secrets": secrets.op2_secrets,
     "op3_quality": quality.op3_quality,
+    "op6_pack": packing.op6_pack,
+    "op7_tokens": tokens.op7_tokens,
     "op9_simhash": simhash.op9_simhash,
 }
 ORACLE_SQL = {
