@@ -2,17 +2,24 @@
 
 from __future__ import annotations
 
-from sablefin.llm import mixing, packing, quality, secrets, simhash, tokens
+from sablefin.llm import mixing, packing, pii, quality, ranking, secrets, simhash, tokens, topk, url_lists
 
 QUERIES = {
     "op1_mix": mixing.op1_mix,
     "op2_secrets": secrets.op2_secrets,
     "op3_quality": quality.op3_quality,
+    "op4_url_lists": url_lists.op4_url_lists,
+    "op5_pii": pii.op5_pii,
     "op6_pack": packing.op6_pack,
     "op7_tokens": tokens.op7_tokens,
+    "op8_ranking": ranking.op8_ranking,
     "op9_simhash": simhash.op9_simhash,
+    "op10_topk": topk.op10_topk,
 }
+#: The others are checked by brute force in tests/llm.
 ORACLE_SQL = {
     "op2_secrets": secrets.ORACLE,
     "op3_quality": quality.ORACLE,
+    "op4_url_lists": url_lists.ORACLE,
+    "op10_topk": topk.ORACLE,
 }

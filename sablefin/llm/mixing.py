@@ -132,25 +132,31 @@ def copies(
     """
     spark = docs.sparkSession
     tag = F.xxhash64(*(F.coalesce(F.col(c).cast("string"), F.lit("")) for c in order), F.lit(seed))
-    rows = docs.select(F.struct(*(F.col(c) for c in keep)).alias("_keep"), F.col(source).alias("_source"), size.cast("long").alias("size"), tag.alias("_order"))
-    rows = settle(rows, "mix-rows")
+    rows = settle(
+        docs.select(
+            F.monotonically_increasing_id().alias("_row"), F.struct(*(F.col(c) for c in keep)).alias("_keep"),
+            F.col(source).cast("string").alias("_source"), size.cast("long").alias("size"), tag.alias("_order"),
+        ),
+        "mix-rows",
+    )
     # a row per source: as many as there are sources, which the targets are defined over
     per = rows.groupBy("_source").agg(F.sum("size").alias("n"), F.count(F.lit(1)).alias("rows")).collect()
-    want = targets([(r["_source"], r["n"]) for r in per], weights, share, limit)
-    plan = [(r["_source"], k, r["n"], want[r["_source"]], max(1, -(-r["rows"] // leaf))) for k, r in enumerate(sorted(per, key=lambda r: (r["_source"] is None, r["_source"] or "")))]
-    if not plan:
+    if not per:
         return rows.select("_keep.*", "size", F.lit(0).cast("long").alias("source_size"), F.lit(0.0).alias("target"), F.lit(0).alias("copies"))
+    per.sort(key=lambda r: (r["_source"] is None, r["_source"] or ""))
+    want = targets([(r["_source"], r["n"]) for r in per], weights, share, limit)
+    plan = [(r["_source"], k, r["n"], want[r["_source"]], max(1, -(-r["rows"] // leaf))) for k, r in enumerate(per)]
     per_source = spark.createDataFrame(plan, "_src string, _sid long, source_size long, target double, _leaves long")
-    rows = rows.join(per_source, rows["_source"].cast("string").eqNullSafe(F.col("_src")), "left")
     exact = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     whole = F.floor(exact + 1e-12)
-    rows = rows.select(
-        F.monotonically_increasing_id().alias("_row"), "_sid", "size", "_order", F.pmod("_order", "_leaves").alias("_node"),
-        F.greatest(exact - whole, F.lit(0.0)).alias("_share"), whole.cast("int").alias("_whole"), "_keep", "source_size", "target",
+    start = rows.select("_row", "_source", "size", "_order").join(per_source, F.col("_source").eqNullSafe(F.col("_src")))
+    start = start.select(
+        "_row", "_sid", "size", "_order", F.pmod("_order", "_leaves").alias("_node"),
+        F.greatest(exact - whole, F.lit(0.0)).alias("_share"), whole.cast("int").alias("_whole"), "source_size", "target",
     )
-    rows = settle(rows, "mix-start")
-    slim = rows.select("_row", "_sid", "size", "_order", "_node", "_share")
-    n, nodes, level, decided = rows.count(), max(p[4] for p in plan), 0, []
+    start = settle(start, "mix-start")
+    slim = start.select("_row", "_sid", "size", "_order", "_node", "_share")
+    n, nodes, level, decided = start.count(), max(p[4] for p in plan), 0, []
     while True:
         done = settle(_level(slim, spread(spark, n, 500_000), seed, level), f"mix-level-{level}")
         decided.append(done.where("_done").select("_row", F.col("_share").alias("_took")))
@@ -165,8 +171,9 @@ def copies(
     took = decided[0]
     for more in decided[1:]:
         took = took.unionByName(more)
-    out = rows.join(took, "_row")
-    return out.select("_keep.*", "size", "source_size", "target", (F.col("_whole") + F.col("_took")).cast("int").alias("copies"))
+    counts = start.join(took, "_row").select("_row", "source_size", "target", (F.col("_whole") + F.col("_took")).cast("int").alias("copies"))
+    out = rows.select("_row", "_keep", "size").join(settle(counts, "mix-copies"), "_row")
+    return out.select("_keep.*", "size", "source_size", "target", "copies")
 
 
 def mix(docs: DataFrame, text: str = "text", **how) -> DataFrame:

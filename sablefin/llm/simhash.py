@@ -24,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sablefin.llm.common import spread, table
 from sablefin.llm.components import components
@@ -207,20 +208,22 @@ def simhash_components(
 
 
 def dedup(docs: DataFrame, width: int = 5, max_bits: int = MAX_BITS) -> DataFrame:
-    """``docs`` without near-copies: of each component the row with the smallest doc_id stays.
+    """``docs``, same columns, without near-copies: of each component the row with the smallest doc_id.
 
-    Rows without a doc_id have no identity to group by and all stay. Of rows that repeat the
-    keeping doc_id, one stays: the one with the largest (text, lang, source, ...) order.
+    Rows without a doc_id have no identity to group by and all stay. Of several rows with the keeping
+    doc_id one stays, the last in the order of its comparable columns.
     """
-    comp = simhash_components(docs.select("doc_id", "text"), width=width, max_bits=max_bits)
-    # a keeper is its own component's id; one row per id, so the join can't multiply rows
-    winners = comp.where("doc_id = component_id").select("doc_id").distinct()
-    winners = settle(winners, "winners")
+    comp = settle(simhash_components(docs.select("doc_id", "text"), width=width, max_bits=max_bits).select("doc_id", "component_id"), "dedup-components")
+    kept = comp.where("doc_id = component_id").groupBy("doc_id").count()
+    kept = settle(kept, "dedup-kept")
+    once = docs.join(kept.select("doc_id"), "doc_id", "left_semi")
     cols = docs.columns
-    kept = docs.join(winners, "doc_id", "left_semi")
-    one = kept.groupBy("doc_id").agg(F.max(F.struct(*(c for c in cols if c != "doc_id"))).alias("_r"))
-    one = one.select(*(F.col("doc_id") if c == "doc_id" else F.col(f"_r.{c}").alias(c) for c in cols))
-    return one.union(docs.where("doc_id is null"))
+    if not kept.where("count > 1").isEmpty():
+        rest = [c for c in cols if c != "doc_id"]
+        order = [f.name for f in docs.schema if f.name in rest and isinstance(f.dataType, T.AtomicType)]
+        one = once.groupBy("doc_id").agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("_r"))
+        once = one.select(*(F.col("doc_id") if c == "doc_id" else F.col("_r")[c].alias(c) for c in cols))
+    return once.select(*cols).union(docs.where("doc_id is null"))
 
 
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
