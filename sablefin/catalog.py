@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+from sablefin.plans import monitoring
+
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
 FLAGSHIP = "all_alerts_union"
+
+for _part in (monitoring,):
+    QUERIES |= _part.QUERIES
+    ORACLE_SQL |= _part.ORACLE_SQL
