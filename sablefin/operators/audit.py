@@ -17,6 +17,7 @@ from typing import Any
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 GENESIS = "0" * 64
@@ -74,7 +75,7 @@ def build(alerts: DataFrame, order: list[str], version: str, kind: str, start: i
     return chain(events, start, previous)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _rehash(rows: pd.DataFrame) -> pd.Series:
     return pd.Series([content_hash({k: (int(v) if k == "sequence" else v) for k, v in r.items()}) for r in rows.to_dict("records")], dtype=object)
 

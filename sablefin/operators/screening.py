@@ -12,6 +12,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from sablefin.config import SCREENING_GRID, Screening
@@ -104,7 +105,7 @@ def candidates(subs: DataFrame, refs: DataFrame, cfg: Screening) -> DataFrame:
     return left.join(right, "key").select("subject_id", "uid", "pos").distinct()
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def _jw(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([similarity.jaro_winkler(x, y) for x, y in zip(a, b, strict=True)])
 

@@ -44,9 +44,10 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a Parquet table in the shared folder and read it back.
 
     It cuts the lineage durably (a lost executor costs no recomputation of what came before),
-    stores columns compressed, and gives later joins real sizes to plan with.
+    stores columns compressed, and gives later joins real sizes to plan with. Texts can be among the
+    columns, hence the denser codec.
     """
     spark = df.sparkSession
     path = f"{scratch_dir(spark)}/settled/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.parquet(path, compression="zstd")
     return spark.read.schema(df.schema).parquet(path)
