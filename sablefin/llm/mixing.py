@@ -172,7 +172,8 @@ def copies(
     for more in decided[1:]:
         took = took.unionByName(more)
     counts = start.join(took, "_row").select("_row", "source_size", "target", (F.col("_whole") + F.col("_took")).cast("int").alias("copies"))
-    out = rows.select("_row", "_keep", "size").join(settle(counts, "mix-copies"), "_row")
+    # copies grow with the corpus: merged at every size, never broadcast
+    out = rows.select("_row", "_keep", "size").join(settle(counts, "mix-copies").hint("merge"), "_row")
     return out.select("_keep.*", "size", "source_size", "target", "copies")
 
 

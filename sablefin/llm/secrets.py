@@ -141,7 +141,7 @@ def scan(
         live.alias("live"), (F.col("_s.kind") != "generic").alias("base"),
     )
     by_row = judged.groupBy("_row").agg(F.sort_array(F.collect_list(span)).alias("_found"))
-    out = scanned.select("_row", "_keep").where(F.size("_spans") > 0).join(by_row, "_row")
+    out = scanned.select("_row", "_keep").where(F.size("_spans") > 0).join(by_row.hint("merge"), "_row")
     kind = "array<struct<start:int,rank:int,end:int,kind:string,owners:bigint,repos:bigint,live:boolean,base:boolean>>"
     idle = scanned.where(F.size("_spans") == 0).select("_row", "_keep", F.array().cast(kind).alias("_found"))
     count = lambda test: F.size(F.filter("_found", test)).cast("long")

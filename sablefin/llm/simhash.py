@@ -204,7 +204,7 @@ def simhash_components(
     low = settle(linked.groupBy("label").agg(F.min("_low").alias("_comp")), "component-low")
     wide = settle(linked.join(low, "label").select("fp", "_comp"), "linked-fp")
     target = settle(reps.join(wide, "fp", "left").select("fp", F.when(F.col("_comp").isNull(), F.col("_low")).otherwise(F.col("_comp")).alias("component_id")), "fp-component")
-    return marked.join(target, "fp").select(*cols, "fp", "component_id")
+    return marked.join(target.hint("merge"), "fp").select(*cols, "fp", "component_id")
 
 
 def dedup(docs: DataFrame, width: int = 5, max_bits: int = MAX_BITS) -> DataFrame:
@@ -216,7 +216,8 @@ def dedup(docs: DataFrame, width: int = 5, max_bits: int = MAX_BITS) -> DataFram
     comp = settle(simhash_components(docs.select("doc_id", "text"), width=width, max_bits=max_bits).select("doc_id", "component_id"), "dedup-components")
     kept = comp.where("doc_id = component_id").groupBy("doc_id").count()
     kept = settle(kept, "dedup-kept")
-    once = docs.join(kept.select("doc_id"), "doc_id", "left_semi")
+    # ids grow with the corpus: merged at every size, never broadcast
+    once = docs.join(kept.select("doc_id").hint("merge"), "doc_id", "left_semi")
     cols = docs.columns
     if not kept.where("count > 1").isEmpty():
         rest = [c for c in cols if c != "doc_id"]
