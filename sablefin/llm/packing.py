@@ -34,7 +34,7 @@ def tokenized(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "t
     src = docs.select(doc_id, F.coalesce(F.col(text), F.lit("")).cast("binary").alias("_text"))
 
     def run(batches):
-        encoder = kernel.Encoder(path)
+        encoder = kernel.encoder(path)
         for b in batches:
             rows, out = [], []
             for k, t in enumerate(b.column("_text").to_pylist()):

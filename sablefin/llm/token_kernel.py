@@ -12,7 +12,9 @@ from __future__ import annotations
 
 import os
 import re
+import sys
 import zlib
+from array import array
 from collections import Counter
 from functools import lru_cache
 
@@ -20,7 +22,8 @@ import numpy as np
 
 _TAIL = re.compile(rb"(?<=[a-z])([!-&(-/:-@\[-`{-~]+)(?=[\x20\x09-\x0d]|$)")
 _LONG = 200
-MEMO = 400_000
+#: Parts a memo holds, about 200 bytes each.
+MEMO = 1_000_000
 
 
 @lru_cache(maxsize=4)
@@ -44,27 +47,39 @@ def parts(text: bytes) -> list[bytes]:
     return text.split()
 
 
+class _Memo(dict):
+    """part -> its ids as little-endian bytes; a missing part is encoded when it is asked for."""
+
+    def __init__(self, path: str) -> None:
+        super().__init__()
+        self.encode = load(path).encode_batch_fast
+
+    def __missing__(self, part: bytes) -> bytes:
+        ids = array("I", self.encode([part.decode()], add_special_tokens=False)[0].ids)
+        if sys.byteorder == "big":
+            ids.byteswap()
+        found = ids.tobytes()
+        if len(part) <= _LONG:
+            if len(self) >= MEMO:
+                self.clear()
+            self[part] = found
+        return found
+
+
 class Encoder:
     """Token ids of texts, each distinct part encoded once while the memo holds it."""
 
     def __init__(self, path: str) -> None:
-        self.path, self.memo = path, {}
+        self.memo = _Memo(path)
 
     def ids(self, text: bytes) -> np.ndarray:
-        own = parts(text)
-        memo = self.memo
-        fresh = list({p for p in own if p not in memo})
-        if len(memo) + len(fresh) > MEMO:
-            memo.clear()
-            fresh = list(set(own))
-        extra = {}
-        if fresh:
-            got = load(self.path).encode_batch_fast([p.decode() for p in fresh], add_special_tokens=False)
-            for p, e in zip(fresh, got, strict=True):
-                (memo if len(p) <= _LONG else extra)[p] = np.array(e.ids, "<u4").tobytes()
-        if extra:
-            return np.frombuffer(b"".join([memo[p] if p in memo else extra[p] for p in own]), "<u4")
-        return np.frombuffer(b"".join([memo[p] for p in own]), "<u4")
+        return np.frombuffer(b"".join(map(self.memo.__getitem__, parts(text))), "<u4")
+
+
+@lru_cache(maxsize=2)
+def encoder(path: str) -> Encoder:
+    """The worker process's own encoder: its memo outlives a task."""
+    return Encoder(path)
 
 
 def count_pieces(path: str, some: list[bytes]) -> list[int]:
