@@ -2,7 +2,13 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
 
+#: Names repeat: a worker keeps what it has compared, up to this many pairs.
+KEPT = 500_000
+
+
+@lru_cache(maxsize=KEPT)
 def jaro_winkler(a: str, b: str, weight: float = 0.1) -> float:
     """Jaro similarity, raised by the common prefix (four letters at most) if it is above 0.7; 0 if either is
     empty."""
@@ -51,6 +57,7 @@ def indel(a: str, b: str) -> int:
     return len(a) + len(b) - 2 * (len(a) - s.bit_count())
 
 
+@lru_cache(maxsize=KEPT)
 def token_set(a: str, b: str) -> float:
     """Token-set ratio in [0, 1]: best of the shared words against each side and the two rests."""
     left, right = set(a.split()), set(b.split())

@@ -127,7 +127,7 @@ def signals(cfg: Screening):
     def run(a: pd.Series, b: pd.Series, ta: pd.Series, tb: pd.Series) -> pd.DataFrame:
         out = []
         for x, y, l, r in zip(a, b, ta, tb, strict=True):
-            l, r = list(l), list(r)
+            l, r = tuple(l), tuple(r)
             direct = similarity.jaro_winkler(x, y, cfg.prefix_weight)
             swapped = similarity.jaro_winkler(" ".join(sorted(l)), " ".join(sorted(r)), cfg.prefix_weight)
             i, j = {t[0] for t in l}, {t[0] for t in r}

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from sablefin.operators import evaluate, features as f, rules
 from sablefin.plans.monitoring import feed
+from sablefin.session import settle
 from sablefin.sources import tables as t
 
 QUERIES: dict = {}
@@ -103,7 +104,7 @@ SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
 
 
 def transformed(spark: SparkSession, d: str) -> DataFrame:
-    base = _base("lines")(spark, d)
+    base = settle(_base("lines")(spark, d), "base-features")  # read three times
     train = base.where(_TRAIN)
     return f.transform(base, f.peer_medians(train), f.shrink_targets(train), SEGMENTS)
 
@@ -114,7 +115,7 @@ def features_transformed(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _clip(x: str) -> str:
-    return f"coalesce(greatest(0, least(50, {x})), 1)"
+    return f"CASE WHEN {x} IS NULL THEN 1 ELSE greatest(0, least(50, {x})) END"
 
 
 _SELF = f"""coalesce(lag(total_amount) OVER w, 0) AS prior_month_amount, {_clip("total_amount / nullif(lag(total_amount) OVER w, 0)")} AS amount_vs_prior,
