@@ -112,3 +112,28 @@ class Monitoring:
     unsupervised_ceiling: float = 0.93
     floor_warning: float = 0.70
     separability_band: float = 0.08
+
+
+def from_yaml(path: str) -> dict[str, Scenario]:
+    """Scenarios from a YAML file: ``scenarios: {RULE: {params: {...}, sweep: {param: ..., values: [...]}}}``.
+
+    Unknown rules, missing parameters and a sweep without its baseline's parameter are errors.
+    """
+    import yaml
+
+    with open(path, encoding="utf-8") as f:
+        raw = yaml.safe_load(f)
+    if not isinstance(raw, dict) or "scenarios" not in raw:
+        raise ValueError(f"{path}: no scenarios")
+    out = {}
+    for rule, body in raw["scenarios"].items():
+        if rule not in RULE_PARAMS:
+            raise ValueError(f"{path}: unknown rule {rule}")
+        params = {k: float(v) for k, v in (body.get("params") or {}).items()}
+        if missing := RULE_PARAMS[rule].keys() - params.keys():
+            raise ValueError(f"{path}: {rule} lacks {sorted(missing)}")
+        sweep = body.get("sweep") or {"param": RULE_SWEEPS[rule][0], "values": RULE_SWEEPS[rule][1]}
+        if sweep["param"] not in params:
+            raise ValueError(f"{path}: {rule} sweeps {sweep['param']}, which it hasn't")
+        out[rule] = Scenario(rule, params, sweep["param"], tuple(float(v) for v in sweep["values"]))
+    return out
