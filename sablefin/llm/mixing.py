@@ -119,10 +119,7 @@ def _level(rows: DataFrame, parts: int, seed: int, level: int) -> DataFrame:
     return dealt.mapInPandas(lambda it: _reduce(it, seed, level), rows.schema.add("_done", "boolean"))
 
 
-def copies(
-    docs: DataFrame, size: Column, source: str = "source", keep: tuple[str, ...] = ("doc_id",), weights: tuple[int, ...] = WEIGHTS,
-    share: float = SHARE, limit: int = LIMIT, seed: int = 17, leaf: int = LEAF, order: tuple[str, ...] = ("doc_id",),
-) -> DataFrame:
+def copies(docs: DataFrame, size: Column, keep: tuple[str, ...] = ("doc_id",), **how) -> DataFrame:
     """One row per row of ``docs``: ``keep``, size, source_size (long), target (double), copies (int).
 
     Copies are 0 to ``limit``. Bucketing and draws depend on the seed, the ``order`` columns and the
@@ -130,6 +127,14 @@ def copies(
     words get copies by a draw of their own. Null sources are one source, last. A source whose
     documents have no words has target 0.
     """
+    got = _copied(docs, size, keep, **how)
+    return got.select("_keep.*", *(c for c in got.columns if c != "_keep"))
+
+
+def _copied(
+    docs: DataFrame, size: Column, keep: tuple[str, ...], source: str = "source", weights: tuple[int, ...] = WEIGHTS,
+    share: float = SHARE, limit: int = LIMIT, seed: int = 17, leaf: int = LEAF, order: tuple[str, ...] = ("doc_id",),
+) -> DataFrame:
     spark = docs.sparkSession
     tag = F.xxhash64(*(F.coalesce(F.col(c).cast("string"), F.lit("")) for c in order), F.lit(seed))
     rows = settle(
@@ -142,7 +147,7 @@ def copies(
     # a row per source: as many as there are sources, which the targets are defined over
     per = rows.groupBy("_source").agg(F.sum("size").alias("n"), F.count(F.lit(1)).alias("rows")).collect()
     if not per:
-        return rows.select("_keep.*", "size", F.lit(0).cast("long").alias("source_size"), F.lit(0.0).alias("target"), F.lit(0).alias("copies"))
+        return rows.select("_keep", "size", F.lit(0).cast("long").alias("source_size"), F.lit(0.0).alias("target"), F.lit(0).alias("copies"))
     per.sort(key=lambda r: (r["_source"] is None, r["_source"] or ""))
     want = targets([(r["_source"], r["n"]) for r in per], weights, share, limit)
     plan = [(r["_source"], k, r["n"], want[r["_source"]], max(1, -(-r["rows"] // leaf))) for k, r in enumerate(per)]
@@ -174,15 +179,14 @@ def copies(
     counts = start.join(took, "_row").select("_row", "source_size", "target", (F.col("_whole") + F.col("_took")).cast("int").alias("copies"))
     # copies grow with the corpus: merged at every size, never broadcast
     out = rows.select("_row", "_keep", "size").join(settle(counts, "mix-copies").hint("merge"), "_row")
-    return out.select("_keep.*", "size", "source_size", "target", "copies")
+    return out.select("_keep", "size", "source_size", "target", "copies")
 
 
 def mix(docs: DataFrame, text: str = "text", **how) -> DataFrame:
     """``docs``, same columns, each row as often as the mix takes it (0 to the limit)."""
-    cols = docs.columns
-    got = copies(docs, n_words(F.col(text)), keep=tuple(cols), **how)
+    got = _copied(docs, n_words(F.col(text)), tuple(docs.columns), **how)
     again = F.explode(F.array_repeat(F.lit(0), F.col("copies"))).alias("_copy")
-    return got.where("copies > 0").select(*cols, again).drop("_copy")
+    return got.where("copies > 0").select("_keep", again).select("_keep.*")
 
 
 def op1_mix(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -109,16 +109,20 @@ def disclosing(rows: DataFrame, texts: DataFrame, support: int, general_at: floa
     return settle(scored.select("_e", "_t", rank.alias("_rank")).where(F.col("_rank").isNotNull()), "pii-disclosing")
 
 
-def find(
-    docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",), width: int = WIDTH, reach: int = REACH, least: int = LEAST,
-    support: int = SUPPORT, general_at: float = GENERAL_AT, remove_at: float = REMOVE_AT,
-) -> DataFrame:
+def find(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), **how) -> DataFrame:
     """One row per row of ``docs``: ``keep`` and ``spans``: array<struct(start, rank, end)> in order, rank
     an index into KINDS.
 
     Null texts are empty. Rows with equal or null ids stay apart. A document without protected entities
     gets no spans at all: terms disclose only beside the entity they disclose.
     """
+    return _located(docs, keep, **how).select("_keep.*", "spans")
+
+
+def _located(
+    docs: DataFrame, keep: tuple[str, ...], text: str = "text", width: int = WIDTH, reach: int = REACH, least: int = LEAST,
+    support: int = SUPPORT, general_at: float = GENERAL_AT, remove_at: float = REMOVE_AT,
+) -> DataFrame:
     rows = settle(_found(docs, keep, text, width, reach, least), "pii-found")
     texts = docs.select(F.coalesce(F.col(text), F.lit("")).alias("text"))
     bad = disclosing(rows, texts, support, general_at, remove_at)
@@ -133,35 +137,32 @@ def find(
         return F.filter(spans, lambda s: ~((s["rank"] == KINDS.index("generalised")) & F.exists(spans, lambda o: (o["rank"] == KINDS.index("removed")) & (o["start"] == s["start"]))))
 
     every = F.when(F.col("_more").isNull(), F.col("_spans")).otherwise(F.sort_array(F.concat("_spans", strongest(F.col("_more")))))
-    return out.select("_keep.*", every.alias("spans"))
+    return out.select("_keep", every.alias("spans"))
 
 
 def sanitise(docs: DataFrame, text: str = "text", **how) -> DataFrame:
     """``docs``, same columns: entities become their kind in brackets, generalised terms their shape,
     removed terms vanish. Overlapping spans are cut once, by the earliest."""
     cols = docs.columns
-    got = find(docs, text=text, keep=tuple(cols), **how)
-
-    @F.pandas_udf("string")
-    def cut(texts, spans):
-        out = []
-        for t, own in zip(texts, spans, strict=True):
-            if t is None or own is None or not len(own):
-                out.append(t)
-                continue
-            done, parts = 0, []
-            for s in own:
-                if s["start"] < done:
-                    continue
-                word, rank = t[s["start"] : s["end"]], s["rank"]
-                parts += [t[done : s["start"]], f"[{KINDS[rank].upper()}]" if rank < 4 else kernel.shape(word) if rank == 4 else ""]
-                done = s["end"]
-            out.append("".join([*parts, t[done:]]))
-        import pandas as pd
-
-        return pd.Series(out, dtype=object)
-
-    return got.select(*(cut(F.col(c), F.col("spans")).alias(c) if c == text else F.col(c) for c in cols))
+    got = _located(docs, tuple(cols), text=text, **how)
+    body = F.col("_keep")[text]
+    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+
+    def instead(s):
+        word = F.substring(body, s["start"] + 1, s["end"] - s["start"])
+        shape = F.when(word.rlike("[0-9]"), "[NUMBER]").when(word.rlike(r"^\p{Lu}"), "[NAME]").otherwise("[WORD]")
+        name = F.concat(F.lit("["), F.upper(F.element_at(F.array(*map(F.lit, kernel.KINDS)), F.least(s["rank"], F.lit(3)) + 1)), F.lit("]"))
+        return F.when(s["rank"] < 4, name).when(s["rank"] == KINDS.index("generalised"), shape).otherwise("")
+
+    def step(acc, s):
+        before = F.substring(body, acc["at"] + 1, s["start"] - acc["at"])
+        return F.struct(
+            F.greatest(acc["at"], s["end"]).alias("at"),
+            F.when(s["start"] >= acc["at"], F.concat(acc["out"], before, instead(s))).otherwise(acc["out"]).alias("out"),
+        )
+
+    cut = F.aggregate("spans", start, step, lambda acc: F.concat(acc["out"], F.substring(body, acc["at"] + 1, F.lit(2**31 - 1))))
+    return got.select(*(F.when(F.size("spans") > 0, cut).otherwise(body).alias(c) if c == text else F.col("_keep")[c].alias(c) for c in cols))
 
 
 def _written(spans):

@@ -117,10 +117,3 @@ class Bloom:
     def __contains__(self, t: str) -> bool:
         a, b = self._places(t)
         return bool(self.bits[a >> 3] >> (a & 7) & 1 and self.bits[b >> 3] >> (b & 7) & 1)
-
-
-def shape(word: str) -> str:
-    """What a generalised term becomes."""
-    if any(c.isdigit() for c in word):
-        return "[NUMBER]"
-    return "[NAME]" if word[:1].isupper() else "[WORD]"

@@ -104,10 +104,7 @@ def fences(measured: DataFrame, features: dict[str, int], by: tuple[str, str], s
     return joined.groupBy(lang, source).agg(*(F.max(F.when(F.col("feature") == f, fence)).alias(f"hi_{f}") for f in features))
 
 
-def judge(
-    docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source", keep: tuple[str, ...] = ("doc_id",),
-    slack: dict[str, int] | None = None, spreads: int = SPREADS, min_group: int = MIN_GROUP,
-) -> DataFrame:
+def judge(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), **how) -> DataFrame:
     """One row per row of ``docs``: ``keep``, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words
     (long), base_failed, kept, and the features compared.
 
@@ -115,6 +112,19 @@ def judge(
     sources are groups like any other. A text without words fails the base. An empty table gives an
     empty result; repeated rows are judged and returned each.
     """
+    got = _judged(docs, keep, **how)
+    return got.select("_keep.*", *(c for c in got.columns if c != "_keep"))
+
+
+def good(docs: DataFrame, **how) -> DataFrame:
+    """The rows of ``docs`` that are kept, with its own columns whatever their names."""
+    return _judged(docs, tuple(docs.columns), **how).where("kept").select("_keep.*")
+
+
+def _judged(
+    docs: DataFrame, keep: tuple[str, ...], text: str = "text", lang: str = "lang", source: str = "source",
+    slack: dict[str, int] | None = None, spreads: int = SPREADS, min_group: int = MIN_GROUP,
+) -> DataFrame:
     slack = SLACK if slack is None else slack
     m = docs.select(F.struct(*(F.col(c) for c in keep)).alias("_keep"), F.col(lang).alias("_l"), F.col(source).alias("_s"), measures(F.col(text)).alias("_m"))
     as_long = lambda name, c: F.col(c).cast("long").alias(name)
@@ -135,7 +145,7 @@ def judge(
     for f in slack:
         inside = inside & F.coalesce(F.col(f) <= F.col(f"hi_{f}"), F.lit(True))
     return both.select(
-        "_keep.*", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
+        "_keep", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
         (~F.col("base_failed") & inside).alias("kept"), *slack,
     )
 

@@ -103,10 +103,7 @@ def ownership(found: DataFrame) -> DataFrame:
     return by_owner.groupBy("hash").agg(F.count(F.lit(1)).alias("owners"), F.sum("n").alias("repos"))
 
 
-def scan(
-    docs: DataFrame, text: str = "text", owner: str = "source", repo: str = "doc_id", keep: tuple[str, ...] = ("doc_id",),
-    max_owners: int = MAX_OWNERS, max_length: int = 256,
-) -> DataFrame:
+def scan(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), **how) -> DataFrame:
     """One row per row of ``docs``: ``keep``, n_assign, n_access, n_hex, n_live, n_example (long) and
     ``found``: array<struct(start, rank, end, kind, owners, repos, live, base)> in order.
 
@@ -116,6 +113,13 @@ def scan(
     together are one owner, null repositories one repository of theirs; repeated rows are repeated
     in the result. Columns of ``docs`` beside those named aren't touched.
     """
+    got = _scanned(docs, keep, **how)
+    return got.select("_keep.*", *(c for c in got.columns if c != "_keep"))
+
+
+def _scanned(
+    docs: DataFrame, keep: tuple[str, ...], text: str = "text", owner: str = "source", repo: str = "doc_id", max_owners: int = MAX_OWNERS, max_length: int = 256,
+) -> DataFrame:
     body = F.coalesce(F.col(text), F.lit(""))
     # only what is kept leaves this select; the text stays in the scan's own stage
     scanned = docs.select(
@@ -146,7 +150,7 @@ def scan(
     idle = scanned.where(F.size("_spans") == 0).select("_row", "_keep", F.array().cast(kind).alias("_found"))
     count = lambda test: F.size(F.filter("_found", test)).cast("long")
     return out.select("_row", "_keep", F.col("_found").cast(kind)).union(idle).select(
-        "_keep.*",
+        "_keep",
         *(count(_is(k)).alias(f"n_{k}") for k in KINDS),
         count(lambda s: s["live"]).alias("n_live"),
         count(lambda s: ~s["live"]).alias("n_example"),
@@ -162,20 +166,19 @@ def redact(docs: DataFrame, text: str = "text", mask: str = "[SECRET]", **how) -
     with equal or null ids are safe: the whole row rides along as the kept struct.
     """
     cols = docs.columns
-    got = scan(docs, text=text, keep=tuple(cols), **how)
-    spans = F.filter("found", lambda s: s["base"] | s["live"])
+    got = _scanned(docs, tuple(cols), text=text, **how)
+    body = F.col("_keep")[text]
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
     def step(acc: Column, s: Column) -> Column:
         fresh = s["start"] >= acc["at"]
         return F.struct(
             F.greatest(acc["at"], s["end"]).alias("at"),
-            F.when(fresh, F.concat(acc["out"], F.substring(F.col(text), acc["at"] + 1, s["start"] - acc["at"]), F.lit(mask))).otherwise(acc["out"]).alias("out"),
+            F.when(fresh, F.concat(acc["out"], F.substring(body, acc["at"] + 1, s["start"] - acc["at"]), F.lit(mask))).otherwise(acc["out"]).alias("out"),
         )
 
-    cut = F.aggregate(spans, start, step, lambda acc: F.concat(acc["out"], F.substring(F.col(text), acc["at"] + 1, F.lit(2**31 - 1))))
-    changed = F.when(F.size("found") > 0, cut).otherwise(F.col(text))
-    return got.select(*(changed.alias(c) if c == text else F.col(c) for c in cols))
+    cut = F.aggregate("found", start, step, lambda acc: F.concat(acc["out"], F.substring(body, acc["at"] + 1, F.lit(2**31 - 1))))
+    return got.select(*(F.when(F.size("found") > 0, cut).otherwise(body).alias(c) if c == text else F.col("_keep")[c].alias(c) for c in cols))
 
 
 def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
