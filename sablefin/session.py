@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,6 +29,25 @@ def get_spark(app: str = "sablefin", cores: str = "*", shuffle_partitions: int =
     return spark
 
 
+def ship(spark: SparkSession) -> None:
+    """Make this package importable in Python workers: once a context, as a zip that Spark hands out.
+
+    Skipped where workers are known to inherit a path that has it.
+    """
+    sc, root = spark.sparkContext, Path(__file__).resolve().parents[1]
+    if getattr(sc, "_sablefin_shipped", False):
+        return
+    sc._sablefin_shipped = True
+    inherited = os.environ.get("PYTHONPATH", "").split(os.pathsep)
+    if sc.master.startswith("local") and (str(root) in inherited or Path.cwd() == root):
+        return
+    archive = Path(tempfile.mkdtemp(prefix="sablefin-")) / "sablefin.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for f in sorted((root / "sablefin").rglob("*.py")):
+            z.write(f, f.relative_to(root))
+    sc.addPyFile(str(archive))
+
+
 def scratch_dir(spark: SparkSession) -> str:
     """The folder all executors share: ``spark.checkpoint.dir``.
 
@@ -48,6 +70,7 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     columns, hence the denser codec.
     """
     spark = df.sparkSession
+    ship(spark)
     path = f"{scratch_dir(spark)}/settled/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path, compression="zstd")
     return spark.read.schema(df.schema).parquet(path)

@@ -12,11 +12,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sablefin.session import ship
+
 TX_SCHEMA = "txn_id bigint, customer_id bigint, txn_ts timestamp, amount double, channel string, direction string, counterparty string, country_key int, is_cross_border boolean"
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A driver table; instants without a zone are read as UTC."""
+    ship(spark)
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
     return df.select(*(F.col(f.name).cast("timestamp").alias(f.name) if isinstance(f.dataType, T.TimestampNTZType) else F.col(f.name) for f in df.schema))
 
