@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sablefin.session import ship
+
 #: White space that separates words, for Java and RE2 regular expressions alike.
 BLANKS = r"[\x20\x09-\x0D]+"
 #: The same characters, for functions that take a set.
@@ -12,6 +14,7 @@ BLANK_CHARS = " \t\n\x0b\x0c\r"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

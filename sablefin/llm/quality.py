@@ -19,7 +19,7 @@ from sablefin.llm.common import BLANK_CHARS, let, table, words
 from sablefin.session import settle
 
 #: feature -> least distance of its fence from the upper quartile, in the feature's own unit
-SLACK = {"symbol_rate": 40, "upper_rate": 150, "dup_line_rate": 400, "repeat_rate": 170, "word_length": 300}
+SLACK = {"symbol_rate": 40, "upper_rate": 150, "dup_line_rate": 400, "repeat_rate": 220, "word_length": 300}
 SPREADS = 4
 MIN_GROUP = 200
 SYMBOLS = "#*$%&|<>"
