@@ -17,6 +17,7 @@ from pyspark.sql.window import Window
 
 from sablefin.config import SCREENING_GRID, Screening
 from sablefin.functions import metaphone, names, similarity
+from sablefin.session import ship
 
 NAME_TYPE = (
     "latin string, normalized string, tokens array<string>, sorted_key string, initials string, script string, is_organization boolean, "
@@ -76,6 +77,7 @@ def references(watchlist: DataFrame, cfg: Screening) -> DataFrame:
 
     ``watchlist``: uid, name, aliases (pipe-separated), program, dob, nationality, national_id.
     """
+    ship(watchlist.sparkSession)
     more = F.filter(F.split(F.coalesce("aliases", F.lit("")), r"\|"), lambda x: F.trim(x) != "")
     w = watchlist.select("uid", F.col("name").alias("entity_name"), "program", F.col("dob").alias("w_dob"), F.col("nationality").alias("w_nat"), F.col("national_id").alias("w_id"), F.posexplode(F.concat(F.array("name"), more)).alias("pos", "ref_name"))
     w = w.withColumn("n", normalized(F.col("ref_name"), cfg)).where(F.size("n.tokens") > 0)
