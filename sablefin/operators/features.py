@@ -29,9 +29,10 @@ SELF = ("prior_month_amount", "amount_vs_prior", "count_vs_prior", "amount_vs_tr
 KEY = ("customer_id", "period")
 
 
-def _amount(test: Column | None = None, x: str = "amount") -> Column:
-    v = F.col(x) if test is None else F.when(test, F.col(x))
-    return F.coalesce(F.sum(money(v)).cast("double"), F.lit(0.0))
+def _amount(test: Column | None = None) -> Column:
+    """Sum of the exact amount ``_amt``, cast once a row and not once a sum."""
+    v = F.col("_amt") if test is None else F.when(test, F.col("_amt"))
+    return F.coalesce(F.sum(v).cast("double"), F.lit(0.0))
 
 
 def _count(test: Column) -> Column:
@@ -43,9 +44,9 @@ def monthly(tx: DataFrame, risk: DataFrame) -> DataFrame:
     transactions, corridor money and gaps included. One exchange."""
     gap = F.datediff("txn_ts", F.lag("txn_ts").over(Window.partitionBy("customer_id").orderBy("txn_ts")))
     t = tx.join(F.broadcast(risk.select("country_key", "tier")), "country_key", "left")  # a row per country
-    t = t.withColumn("gap", gap).withColumn("period", period())
+    t = t.withColumn("_amt", money(F.col("amount"))).withColumn("gap", gap).withColumn("period", period())
     # what a counterparty got this month, beside each of its rows: a sort within the same partitions
-    cp = F.sum(money(F.col("amount"))).over(Window.partitionBy("customer_id", "period", "counterparty"))
+    cp = F.sum("_amt").over(Window.partitionBy("customer_id", "period", "counterparty"))
     t = t.withColumn("_cp", F.when(F.col("counterparty").isNotNull(), cp.cast("double")))
     hour, day, a = F.hour("txn_ts"), F.dayofweek("txn_ts"), F.col("amount")
     # distinct counts as set sizes: countDistinct would expand rows and shuffle twice more
