@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from sablefin.config import Monitoring
+from sablefin.operators.quantile import exact_quantiles
 from sablefin.operators.rules import money, period
 
 PEER = ("total_amount", "txn_count", "max_amount", "avg_amount", "cash_amount", "high_risk_amount", "distinct_counterparties")
@@ -100,8 +101,8 @@ def finite(c: Column) -> Column:
 
 def peer_medians(train: DataFrame, columns: tuple[str, ...] = PEER) -> DataFrame:
     """(behaviour_segment, med_*): exact medians by segment; the row of the null segment is the global one."""
-    meds = [F.percentile(c, 0.5).alias(f"med_{c}") for c in columns]
-    return train.groupBy("behaviour_segment").agg(*meds).unionByName(train.agg(*meds).withColumn("behaviour_segment", F.lit(None).cast("string")))
+    own = exact_quantiles(train, ["behaviour_segment"], list(columns), 0.5, "med_")
+    return own.unionByName(exact_quantiles(train, [], list(columns), 0.5, "med_").withColumn("behaviour_segment", F.lit(None).cast("string")))
 
 
 def shrink_targets(train: DataFrame, columns: tuple[str, ...] = SHRUNK) -> DataFrame:

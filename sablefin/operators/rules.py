@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from sablefin.config import Scenario, scenarios
+from sablefin.operators.quantile import exact_quantiles
+from sablefin.session import settle
 from sablefin.sources.tables import union_all
 
 OUTPUT = ("rule_id", "customer_id", "period", "metric_value", "alert_amount", "txn_count")
@@ -159,7 +161,8 @@ def cash_intensity(tx: DataFrame, cust: DataFrame, risk: DataFrame, p: dict[str,
         F.coalesce(total(F.when(F.col("channel") == "CASH", F.col("amount"))), F.lit(0.0)).alias("cash"), total(F.col("amount")).alias("all"), F.count(F.lit(1)).alias("txn_count")
     )
     month = month.withColumn("share", F.col("cash") / F.nullif("all", F.lit(0.0)))
-    peer = month.groupBy("behaviour_segment").agg(F.percentile("share", 0.75).alias("p75"))
+    month = settle(month, "cash-months")  # a row per customer-month, read three times
+    peer = exact_quantiles(month, ["behaviour_segment"], ["share"], 0.75).withColumnRenamed("q_share", "p75")
     out = month.join(peer, "behaviour_segment").where((F.col("txn_count") >= p["min_txn_count"]) & (F.col("cash") >= p["min_cash_amount"]) & (F.col("share") >= F.col("p75")))
     return out.select("customer_id", "period", F.col("share").alias("metric_value"), F.col("cash").alias("alert_amount"), "txn_count")
 
