@@ -28,6 +28,7 @@ from pyspark.sql import types as T
 
 from sablefin.llm.common import spread, table
 from sablefin.llm.components import components
+from sablefin.llm.jaccard import near_copies
 from sablefin.llm.simhash_kernel import fingerprint, linked_pairs
 from sablefin.session import settle
 
@@ -207,13 +208,15 @@ def simhash_components(
     return marked.join(target.hint("merge"), "fp").select(*cols, "fp", "component_id")
 
 
-def dedup(docs: DataFrame, width: int = 5, max_bits: int = MAX_BITS) -> DataFrame:
+def dedup(docs: DataFrame, width: int = 5) -> DataFrame:
     """``docs``, same columns, without near-copies: of each component the row with the smallest doc_id.
 
+    Near-copies have a Jaccard similarity of 0.8 or more over shingles of ``width`` words. Such pairs
+    differ in more fingerprint bits than the index here reaches, so ``jaccard`` finds them.
     Rows without a doc_id have no identity to group by and all stay. Of several rows with the keeping
     doc_id one stays, the last in the order of its comparable columns.
     """
-    comp = settle(simhash_components(docs.select("doc_id", "text"), width=width, max_bits=max_bits).select("doc_id", "component_id"), "dedup-components")
+    comp = settle(near_copies(docs.select("doc_id", "text"), width=width), "dedup-components")
     kept = comp.where("doc_id = component_id").groupBy("doc_id").count()
     kept = settle(kept, "dedup-kept")
     # ids grow with the corpus: merged at every size, never broadcast

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 import xxhash
 
-from sablefin.llm import components, simhash, simhash_kernel as kernel
+from sablefin.llm import components, jaccard, simhash, simhash_kernel as kernel
 
 
 def brute_fingerprint(text, width):
@@ -113,3 +113,42 @@ def test_query(docs_of, odd_rows, dir_of, spark):
     out = simhash.op9_simhash(spark, dir_of(documents=docs_of(odd_rows)))
     assert dict(out.dtypes) == {"doc_id": "bigint", "fingerprint": "string", "component_id": "bigint"}
     assert {r["fingerprint"] for r in out.where("doc_id in (1, 2, 3)").collect()} == {"0" * 16}
+
+
+def edited_copies(seed):
+    """Texts of 40 to 400 words with edits that put pairs on both sides of 0.8."""
+    rng = random.Random(seed)
+    rows = []
+    for _ in range(8):
+        base = [f"w{rng.randrange(5000)}" for _ in range(rng.randint(40, 400))]
+        for _ in range(12):
+            words = list(base)
+            for k in rng.sample(range(len(base)), rng.randint(0, max(len(base) // 40, 2))):
+                words[k] = f"x{rng.randrange(5000)}"
+            rows.append((len(rows) + 1, " ".join(words), "en", "a"))
+    return rows
+
+
+@pytest.mark.parametrize("limit", [2, 10_000])
+def test_near_copies_match_brute_force_at_similarity(docs_of, limit):
+    """With a list limit of 2 nearly all pairs go the way of labels."""
+    rows = edited_copies(limit)
+    sets = [set(kernel.shingle_hashes(t.encode(), 5, 42).tolist()) for _, t, _, _ in rows]
+    root = list(range(len(rows)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    far = 0
+    for i in range(len(rows)):
+        for j in range(i):
+            if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+                far += (kernel.fingerprint(rows[i][1].encode(), 5, 42) ^ kernel.fingerprint(rows[j][1].encode(), 5, 42)).bit_count() > 4
+                a, b = sorted((find(i), find(j)))
+                root[b] = a
+    got = {r["doc_id"]: r["component_id"] for r in jaccard.near_copies(docs_of(rows), list_limit=limit, block=5).collect()}
+    assert far > 20  # more than the fingerprint's four bits reach
+    assert got == {rows[i][0]: rows[find(i)][0] for i in range(len(rows))}
+    assert sorted(r["doc_id"] for r in simhash.dedup(docs_of(rows)).collect()) == sorted({rows[find(i)][0] for i in range(len(rows))})
