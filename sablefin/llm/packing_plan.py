@@ -5,8 +5,9 @@ capacity, so that every piece is used. The configuration program is solved over
 lengths by multiplicative weights: weights fall exponentially with how far a class is covered, and
 the next configuration is the most valuable one under them, found by knapsack dynamic programming.
 The fractional solution is rounded down; every whole use is realised with pieces of its classes, the
-last of them being whichever length left fits best, as long as that fills the sequence. What
-rounding leaves is packed by best fit.
+last of them being whichever length left fits best. What rounding leaves is packed by best fit. That
+is done with the configurations that fill their sequences, with all, and with none; the plan with
+fewest sequences is taken.
 
 All loops run over lengths and classes, at most ``capacity`` of them, with multiplicities: a step
 uses up a length, so the plan's size doesn't grow with the number of documents.
@@ -125,35 +126,52 @@ class Plan:
         return times
 
 
+def _realise(plan: Plan, members: list[np.ndarray], solved: list[tuple[np.ndarray, float]], full: bool) -> Plan:
+    """``plan`` with the whole uses of each configuration, and best fit for what is left.
+
+    With ``full`` a configuration ends once its lengths leave room; else once they run out.
+    """
+    for use, times in sorted(solved, key=lambda x: (-int(np.flatnonzero(x[0])[-1]), -x[1])):
+        whole = int(times)
+        while whole > 0:
+            chosen: dict[int, int] = {}
+            room = plan.capacity
+            picks = np.repeat(np.arange(len(members)), use)[::-1].tolist()  # longest class first
+            first = picks[: max(len(picks) - 1, 1)]
+            for g in first:
+                low, top = int(members[g][0]), min(int(members[g][-1]), room)
+                while (m := plan.longest(top)) >= low and plan.left[m] <= chosen.get(m, 0):
+                    top = m - 1
+                if m < low or not m:
+                    break
+                chosen[m] = chosen.get(m, 0) + 1
+                room -= m
+            found = sum(chosen.values()) == len(first)
+            if not chosen:
+                break
+            tokens = sum(m * k for m, k in plan.complete(chosen).items())
+            if tokens < plan.capacity and (full or not found or sum(chosen.values()) < len(picks)):
+                break  # its lengths no longer fill a sequence: best fit may use them better
+            whole -= plan.emit(chosen, whole)
+    while top := plan.longest(plan.capacity):
+        plan.emit(plan.complete({top: 1}))
+    return plan
+
+
 def make_plan(counts: np.ndarray, capacity: int, n_classes: int = 64, step: float = 0.02, cell: int = 16, rounds: int = 4000) -> tuple[np.ndarray, int]:
-    """(segments, sequences) that place every piece of ``counts`` (pieces by length, to ``capacity``)."""
+    """(segments, sequences) that place every piece of ``counts`` (pieces by length, to ``capacity``).
+
+    Of the plans with full configurations only, with all of them, and with none, the one with fewest sequences.
+    """
     counts = np.asarray(counts, np.int64)
-    plan = Plan(counts, capacity)
     group = classes(counts, n_classes)
     n = int(group.max(initial=-1)) + 1
+    members, solved = [np.flatnonzero(group == g) for g in range(n)], []
     if n:
-        members = [np.flatnonzero(group == g) for g in range(n)]
         demand = np.array([counts[m].sum() for m in members], float)
         mean = np.array([(counts[m] * m).sum() for m in members]) / demand
         sizes = np.maximum(np.round(mean / cell).astype(int), 1)
         solved = configuration_lp(sizes, demand, capacity // cell, step, rounds)
-        for use, times in sorted(solved, key=lambda x: (-int(np.flatnonzero(x[0])[-1]), -x[1])):
-            whole = int(times)
-            while whole > 0:
-                chosen: dict[int, int] = {}
-                room = capacity
-                picks = np.repeat(np.arange(n), use)[::-1].tolist()  # longest class first
-                for g in picks[: max(len(picks) - 1, 1)]:
-                    low, top = int(members[g][0]), min(int(members[g][-1]), room)
-                    while (m := plan.longest(top)) >= low and plan.left[m] <= chosen.get(m, 0):
-                        top = m - 1
-                    if m < low or not m:
-                        break
-                    chosen[m] = chosen.get(m, 0) + 1
-                    room -= m
-                if not chosen or sum(m * k for m, k in plan.complete(chosen).items()) < capacity:
-                    break  # its lengths no longer fill a sequence: best fit may use them better
-                whole -= plan.emit(chosen, whole)
-    while top := plan.longest(capacity):
-        plan.emit(plan.complete({top: 1}))
+    tries = (_realise(Plan(counts, capacity), members, some, full) for some, full in ((solved, True), (solved, False), ([], True)))
+    plan = min(tries, key=lambda p: p.sequences)
     return np.array(plan.segments, np.int64).reshape(-1, len(SEGMENT)), plan.sequences

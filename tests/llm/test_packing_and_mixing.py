@@ -105,6 +105,19 @@ def test_plan_places_each_piece_once_and_packs_tightly(seed):
     assert n <= first_fit(lengths.tolist(), 1024) * 1.01 + 2
 
 
+def test_program_decides_where_no_lengths_fill_a_sequence():
+    """2063 + 1040 + 991 and 2 * 1056 + 2 * 991 take 1.5 sequences a piece of 2063; best fit takes 1.83."""
+    counts, n = np.zeros(4097, np.int64), 3000
+    counts[[2063, 1056, 1040, 991]] = n, n, n, 2 * n
+    seg, sequences = packing_plan.make_plan(counts, 4096)
+    assert sequences < 1.6 * n
+    placed = np.zeros(4097, np.int64)
+    for length, first, last, *_ in seg.tolist():
+        assert first == placed[length]
+        placed[length] = last
+    assert (placed == counts).all()
+
+
 def test_pricing_finds_the_most_valuable_configuration():
     rng = np.random.default_rng(2)
     for _ in range(20):
