@@ -60,7 +60,7 @@ def find_spans(text: Column, kind: str, pattern: str, group: int, least: int, ch
     return F.filter(let(found, spans), lambda s: F.length(s["value"]) >= least)
 
 
-def _all_spans(text: Column, max_length: int) -> Column:
+def _all_spans(text: Column) -> Column:
     """array<struct(start, rank, end, kind, value)> of base and generic spans, in order."""
     none = F.array().cast("array<struct<start:int,end:int,kind:string,value:string>>")
     base = [
@@ -74,8 +74,7 @@ def _all_spans(text: Column, max_length: int) -> Column:
         own, more = pair["own"], pair["more"]
         more = F.filter(
             more,
-            lambda g: (F.length(g["value"]) <= max_length)
-            & g["value"].rlike("[A-Z]") & g["value"].rlike("[a-z]") & g["value"].rlike("[0-9]")
+            lambda g: g["value"].rlike("[A-Z]") & g["value"].rlike("[a-z]") & g["value"].rlike("[0-9]")
             & ~F.exists(own, lambda b: (b["start"] < g["end"]) & (g["start"] < b["end"])),
         )
         return F.concat(own, more)
@@ -118,7 +117,7 @@ def scan(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), **how) -> DataFra
 
 
 def _scanned(
-    docs: DataFrame, keep: tuple[str, ...], text: str = "text", owner: str = "source", repo: str = "doc_id", max_owners: int = MAX_OWNERS, max_length: int = 256,
+    docs: DataFrame, keep: tuple[str, ...], text: str = "text", owner: str = "source", repo: str = "doc_id", max_owners: int = MAX_OWNERS,
 ) -> DataFrame:
     body = F.coalesce(F.col(text), F.lit(""))
     # only what is kept leaves this select; the text stays in the scan's own stage
@@ -128,7 +127,7 @@ def _scanned(
         F.col(owner).cast("string").alias("_owner"),
         F.col(repo).cast("string").alias("_repo"),
         F.transform(
-            _all_spans(body, max_length),
+            _all_spans(body),
             lambda s: F.struct(
                 s["start"].alias("start"), s["rank"].alias("rank"), s["end"].alias("end"), s["kind"].alias("kind"),
                 F.substring(F.sha2(s["value"], 256), 1, 32).alias("hash"),

@@ -42,6 +42,16 @@ def test_secret_query(docs_of, dir_of, spark):
     assert sum(r["doc_id"] == 3 for r in got) == 2
 
 
+def test_long_credentials_are_live_and_masked(docs_of):
+    """A base64 key on one line, as in a kubeconfig, is tallied whatever its length."""
+    key = "LS0tLS1CRUdJTiBSU0Eg" * 120
+    df = docs_of([(1, f"client-key-data: {key} end", "en", "o1"), (2, "nothing here", "en", "o1")])
+    got = {r["doc_id"]: r for r in secrets.scan(df).collect()}
+    assert (got[1]["n_live"], got[1]["n_example"]) == (1, 0)
+    assert [(s["start"], s["end"], s["kind"]) for s in got[1]["found"]] == [(17, 17 + len(key), "generic")]
+    assert {r["text"] for r in secrets.redact(df).collect()} == {"client-key-data: [SECRET] end", "nothing here"}
+
+
 def test_secrets_are_masked_and_other_columns_kept(docs_of):
     df = docs_of(SECRET_ROWS, clash=True)
     out = secrets.redact(df)
