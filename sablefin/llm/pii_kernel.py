@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
+from itertools import accumulate
 
 import xxhash
 
@@ -80,6 +82,8 @@ def contexts(text: str, spans: list[tuple[int, int, int]], width: int, reach: in
     Near are the ``width`` words on each side that lie wholly within ``reach`` characters and touch no
     span. ``window`` is a hash of all of them, so that copies of a passage can be told from fresh evidence.
     """
+    starts = [x for x, _, _ in spans]
+    reached = list(accumulate((f for _, _, f in spans), max))  # furthest end of the spans so far
     for s, _, e in spans:
         near = []
         for low, high, left in ((max(0, s - reach), s, True), (e, min(len(text), e + reach), False)):
@@ -89,7 +93,8 @@ def contexts(text: str, spans: list[tuple[int, int, int]], width: int, reach: in
             if not left and found and found[-1][1] == high < len(text):
                 found = found[:-1]
             near += found[-width:] if left else found[:width]
-        clear = [(a, b) for a, b in near if not any(a < f and x < b for x, _, f in spans)] if len(spans) < 1000 else near
+        # a span touches a word if, of those that start before its end, one ends after its start
+        clear = [(a, b) for a, b in near if not ((k := bisect_left(starts, b)) and reached[k - 1] > a)]
         window = signed(" ".join(term(text[a:b]) for a, b in clear))
         who = signed(text[s:e].lower())
         for a, b in clear:
