@@ -2,11 +2,12 @@
 
 Every document gets whole-text measures inside its own row (higher-order functions over its words:
 no row leaves its task, however long the text). Fixed cutoffs are replaced by fences taken from
-quantile sketches per language and source. The sketch is a log-linear histogram: a value keeps its
-top six bits, so a quantile is off by at most 1/32 of itself, two sketches merge by adding counts,
-the result doesn't depend on the order of merging, and a sketch has at most a few hundred cells
-however many rows went in. A group with few documents borrows its language's merged sketch, a
-language with few the whole corpus's. The fences are then joined back and filter.
+quantile sketches per language and source, over the documents that pass the base rules. The sketch
+is a log-linear histogram: a value keeps its top six bits, so a quantile is off by at most 1/32 of
+itself, two sketches merge by adding counts, the result doesn't depend on the order of merging, and a
+sketch has at most a few hundred cells however many rows went in. A group with too few documents
+beyond the quantile borrows its language's merged sketch, a language with too few the whole corpus's.
+The fences are then joined back and filter.
 """
 
 from __future__ import annotations
@@ -18,10 +19,14 @@ from pyspark.sql.window import Window
 from sablefin.llm.common import BLANK_CHARS, let, table, words
 from sablefin.session import settle
 
-#: feature -> least distance of its fence from the upper quartile, in the feature's own unit
-SLACK = {"symbol_rate": 40, "upper_rate": 150, "dup_line_rate": 400, "repeat_rate": 220, "word_length": 300}
-SPREADS = 4
-MIN_GROUP = 200
+#: feature -> (quantile in thousandths, spreads). The fence lies ``spreads`` distances of the quantile from
+#: the median above the quantile. A low quantile holds where many documents are junk in that measure
+#: (symbols), a high one where sound documents have a long tail (repeated lines and words).
+TAILS = {"symbol_rate": (750, 4), "upper_rate": (990, 2), "dup_line_rate": (990, 2), "repeat_rate": (990, 1), "word_length": (900, 6)}
+#: Least distance of a fence from its quantile, in the feature's own unit: a thousandth or a hundredth.
+LEAST = 10
+#: Documents a group must have beyond a quantile for that quantile to be its own.
+BEYOND = 50
 SYMBOLS = "#*$%&|<>"
 
 
@@ -76,32 +81,37 @@ def merge(cells: DataFrame, by: list[str]) -> DataFrame:
     return cells.groupBy(*by, "feature", "cell").agg(F.sum("n").alias("n"))
 
 
-def quartiles(cells: DataFrame, by: list[str]) -> DataFrame:
-    """(``by``, feature, size, q1, q3): lower ends of the cells that hold the quartiles."""
+def quantiles(cells: DataFrame, by: list[str], levels: dict[str, Column]) -> DataFrame:
+    """(``by``, feature, size, a column per level): lower ends of the cells that hold the quantiles, in thousandths."""
     group = Window.partitionBy(*by, "feature")
     run = cells.withColumn("size", F.sum("n").over(group)).withColumn("upto", F.sum("n").over(group.orderBy("cell").rowsBetween(Window.unboundedPreceding, 0)))
-    at = lambda k: F.min(F.when(4 * F.col("upto") >= k * F.col("size"), F.col("cell")))
-    return run.groupBy(*by, "feature", "size").agg(at(1).alias("q1"), at(3).alias("q3"))
+    at = lambda k: F.min(F.when(1000 * F.col("upto") >= k * F.col("size"), F.col("cell")))
+    return run.groupBy(*by, "feature", "size").agg(*(at(k).alias(name) for name, k in levels.items()))
 
 
-def fences(measured: DataFrame, features: dict[str, int], by: tuple[str, str], spreads: int, min_group: int) -> DataFrame:
+def _by_feature(tails: dict[str, tuple[int, int]], k: int) -> Column:
+    return F.element_at(F.create_map(*(F.lit(x) for f, t in tails.items() for x in (f, t[k]))), F.col("feature"))
+
+
+def fences(measured: DataFrame, tails: dict[str, tuple[int, int]], by: tuple[str, str], least: int, beyond: int) -> DataFrame:
     """One row per (language, source): a fence ``hi_<feature>`` for each feature.
 
-    Tukey's upper fence, Q3 + ``spreads`` (Q3 - Q1), at least the feature's slack above Q3, so that a
-    measure that is zero nearly everywhere doesn't condemn its first non-zero value.
+    It lies above the feature's quantile by its spreads, at least by ``least``, so that a measure that is
+    zero nearly everywhere doesn't condemn its first non-zero value.
     """
     lang, source = by
-    cells = settle(sketches(measured, list(features), [lang, source]), "quality-cells")
-    fine = quartiles(cells, [lang, source])
-    mid = quartiles(merge(cells, [lang]), [lang]).select(F.col(lang).alias("_lang"), F.col("feature").alias("_f2"), F.col("size").alias("size2"), F.col("q1").alias("b1"), F.col("q3").alias("b3"))
-    top = quartiles(merge(cells, []), []).select(F.col("feature").alias("_f3"), F.col("q1").alias("c1"), F.col("q3").alias("c3"))
-    joined = fine.join(mid, fine[lang].eqNullSafe(mid["_lang"]) & (fine["feature"] == mid["_f2"]), "left").join(top, F.col("feature") == F.col("_f3"), "left")
-    own, wide = F.col("size") >= min_group, F.col("size2") >= min_group
-    q1 = F.when(own, F.col("q1")).when(wide, F.col("b1")).otherwise(F.col("c1"))
-    q3 = F.when(own, F.col("q3")).when(wide, F.col("b3")).otherwise(F.col("c3"))
-    slack = F.create_map(*(F.lit(x) for f, s in features.items() for x in (f, s)))
-    fence = q3 + F.greatest(spreads * (q3 - q1), F.element_at(slack, F.col("feature")))
-    return joined.groupBy(lang, source).agg(*(F.max(F.when(F.col("feature") == f, fence)).alias(f"hi_{f}") for f in features))
+    level = _by_feature(tails, 0)
+    ask = {"mid": F.lit(500), "tail": level}
+    cells = settle(sketches(measured, list(tails), [lang, source]), "quality-cells")
+    named = lambda df, n: df.withColumnsRenamed({c: f"_{c}{n}" for c in df.columns})
+    fine, wide, top = quantiles(cells, [lang, source], ask), named(quantiles(merge(cells, [lang]), [lang], ask), 2), named(quantiles(merge(cells, []), [], ask), 3)
+    joined = fine.join(wide, fine[lang].eqNullSafe(wide[f"_{lang}2"]) & (fine["feature"] == wide["_feature2"])).join(top, F.col("feature") == F.col("_feature3"))
+    enough = lambda size: F.col(size) * (1000 - level) >= 1000 * beyond
+    pick = lambda c: F.when(enough("size"), F.col(c)).when(enough("_size2"), F.col(f"_{c}2")).otherwise(F.col(f"_{c}3"))
+    tail, mid = pick("tail"), pick("mid")
+    # tail + tail / 32 bounds the values of the quantile's cell
+    fence = tail + F.floor(tail / 32) + F.greatest(_by_feature(tails, 1) * (tail - mid), F.lit(least))
+    return joined.groupBy(lang, source).agg(*(F.max(F.when(F.col("feature") == f, fence)).alias(f"hi_{f}") for f in tails))
 
 
 def judge(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), **how) -> DataFrame:
@@ -123,9 +133,9 @@ def good(docs: DataFrame, **how) -> DataFrame:
 
 def _judged(
     docs: DataFrame, keep: tuple[str, ...], text: str = "text", lang: str = "lang", source: str = "source",
-    slack: dict[str, int] | None = None, spreads: int = SPREADS, min_group: int = MIN_GROUP,
+    tails: dict[str, tuple[int, int]] | None = None, least: int = LEAST, beyond: int = BEYOND,
 ) -> DataFrame:
-    slack = SLACK if slack is None else slack
+    tails = TAILS if tails is None else tails
     m = docs.select(F.struct(*(F.col(c) for c in keep)).alias("_keep"), F.col(lang).alias("_l"), F.col(source).alias("_s"), measures(F.col(text)).alias("_m"))
     as_long = lambda name, c: F.col(c).cast("long").alias(name)
     m = m.select(
@@ -139,14 +149,14 @@ def _judged(
         ((F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))).alias("base_failed"),
     ).drop("_lines", "_upper")
     m = settle(m, "quality-measures")
-    limits = settle(fences(m, slack, ("_l", "_s"), spreads, min_group).withColumnsRenamed({"_l": "_gl", "_s": "_gs"}), "quality-fences")
+    limits = settle(fences(m.where("not base_failed"), tails, ("_l", "_s"), least, beyond).withColumnsRenamed({"_l": "_gl", "_s": "_gs"}), "quality-fences")
     both = m.join(limits, m["_l"].eqNullSafe(limits["_gl"]) & m["_s"].eqNullSafe(limits["_gs"]), "left")
     inside = F.lit(True)
-    for f in slack:
+    for f in tails:
         inside = inside & F.coalesce(F.col(f) <= F.col(f"hi_{f}"), F.lit(True))
     return both.select(
         "_keep", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-        (~F.col("base_failed") & inside).alias("kept"), *slack,
+        (~F.col("base_failed") & inside).alias("kept"), *tails,
     )
 
 
@@ -155,18 +165,19 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _oracle() -> str:
-    fs = list(SLACK)
-    cells = " UNION ALL ".join(f"SELECT lang, source, '{f}' AS feature, ({f} >> greatest(length(bin({f})) - 6, 0)) << greatest(length(bin({f})) - 6, 0) AS cell FROM m" for f in fs)
+    fs = list(TAILS)
+    cells = " UNION ALL ".join(f"SELECT lang, source, '{f}' AS feature, ({f} >> greatest(length(bin({f})) - 6, 0)) << greatest(length(bin({f})) - 6, 0) AS cell FROM m WHERE NOT base_failed" for f in fs)
+    level, spreads = (" ".join(["CASE feature", *(f"WHEN '{f}' THEN {t[k]}" for f, t in TAILS.items()), "END"]) for k in (0, 1))
 
-    def quart(by: str) -> str:
+    def quant(by: str) -> str:
         keys = f"{by}, feature" if by else "feature"
-        return f"""SELECT {keys}, any_value(size) AS size, min(cell) FILTER (4 * upto >= size) AS q1, min(cell) FILTER (4 * upto >= 3 * size) AS q3
+        return f"""SELECT {keys}, any_value(size) AS size, min(cell) FILTER (1000 * upto >= 500 * size) AS mid, min(cell) FILTER (1000 * upto >= ({level}) * size) AS tail
   FROM (SELECT {keys}, cell, sum(n) OVER (PARTITION BY {keys}) AS size, sum(n) OVER (PARTITION BY {keys} ORDER BY cell) AS upto
     FROM (SELECT {keys}, cell, count(*) AS n FROM cells GROUP BY ALL)) GROUP BY {keys}"""
 
-    slack = " ".join(f"WHEN '{f}' THEN {s}" for f, s in SLACK.items())
-    ok = " AND ".join(f"{f} <= hi_{f}" for f in fs)
-    wide = ", ".join(f"max(fence) FILTER (feature = '{f}') AS hi_{f}" for f in fs)
+    pick = lambda c: f"CASE WHEN fine.size * (1000 - level) >= {1000 * BEYOND} THEN fine.{c} WHEN wide.size * (1000 - level) >= {1000 * BEYOND} THEN wide.{c} ELSE top.{c} END"
+    ok = " AND ".join(f"coalesce({f} <= hi_{f}, true)" for f in fs)
+    limits = ", ".join(f"max(fence) FILTER (feature = '{f}') AS hi_{f}" for f in fs)
     return f"""WITH t AS (SELECT row_number() OVER () AS row, doc_id, lang, source, coalesce(text, '') AS t FROM documents),
 s AS MATERIALIZED (SELECT row, doc_id, lang, source, t, list_filter(regexp_split_to_array(t, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w,
   list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS l FROM t),
@@ -180,11 +191,10 @@ m AS MATERIALIZED (SELECT *, n_symbols * 1000 // greatest(word_chars, 1) AS symb
   (n_dup_lines * 1000 // greatest(lines, 1))::BIGINT AS dup_line_rate, n_repeat_words * 1000 // greatest(n_words, 1) AS repeat_rate,
   word_chars * 100 // greatest(n_words, 1) AS word_length, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM b),
 cells AS ({cells}),
-fine AS ({quart("lang, source")}), mid AS ({quart("lang")}), top AS ({quart("")}),
-f AS (SELECT fine.lang, fine.source, feature, CASE WHEN fine.size >= {MIN_GROUP} THEN fine.q1 WHEN mid.size >= {MIN_GROUP} THEN mid.q1 ELSE top.q1 END AS q1,
-  CASE WHEN fine.size >= {MIN_GROUP} THEN fine.q3 WHEN mid.size >= {MIN_GROUP} THEN mid.q3 ELSE top.q3 END AS q3
-  FROM fine JOIN top USING (feature) LEFT JOIN mid ON mid.lang IS NOT DISTINCT FROM fine.lang AND mid.feature = fine.feature),
-fence AS (SELECT lang, source, {wide} FROM (SELECT *, q3 + greatest({SPREADS} * (q3 - q1), CASE feature {slack} END) AS fence FROM f) GROUP BY lang, source)
+fine AS (SELECT *, {level} AS level FROM ({quant("lang, source")})), wide AS ({quant("lang")}), top AS ({quant("")}),
+f AS (SELECT fine.lang, fine.source, feature, {pick("mid")} AS mid, {pick("tail")} AS tail
+  FROM fine JOIN top USING (feature) LEFT JOIN wide ON wide.lang IS NOT DISTINCT FROM fine.lang AND wide.feature = fine.feature),
+fence AS (SELECT lang, source, {limits} FROM (SELECT *, tail + tail // 32 + greatest(({spreads}) * (tail - mid), {LEAST}) AS fence FROM f) GROUP BY lang, source)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND {ok} AS kept, {", ".join(fs)}
 FROM m LEFT JOIN fence x ON x.lang IS NOT DISTINCT FROM m.lang AND x.source IS NOT DISTINCT FROM m.source"""
 

@@ -26,6 +26,18 @@ SECRET_ROWS = [
 
 
 def base_secrets(text):
+def assert_same_documents(df, sql, where):
+    """All rows equal those of ``sql`` over the folder's documents."""
+    import duckdb
+
+    c = duckdb.connect()
+    c.execute(f"CREATE VIEW documents AS SELECT * FROM '{where}/documents.parquet/*.parquet'")
+    r = c.execute(sql)
+    cols = [d[0] for d in r.description]
+    assert sorted(cols) == sorted(df.columns)
+    assert sorted(map(repr, map(tuple, df.select(*cols).collect()))) == sorted(map(repr, r.fetchall()))
+
+
     out = []
     for k, (kind, (p, g, n)) in enumerate(SECRET.items()):
         out += [(m.start(), k, m.end(), kind) for m in p.finditer(text or "") if len(m[g]) >= n]
@@ -89,6 +101,8 @@ def test_fences_adapt_to_the_group(docs_of):
     import random
 
     rng = random.Random(1)
+    where = dir_of(documents=docs_of(rows))
+    assert_same_documents(quality.op3_quality(spark, where), quality.ORACLE, where)
     word = lambda: "".join(rng.choice("abcdefgh") for _ in range(5))
     plain = lambda: " ".join(word() for _ in range(60))
     code = lambda: " ".join(word() + "##" for _ in range(60))
@@ -105,10 +119,40 @@ def test_sketches_merge_exactly(spark):
     whole = quality.sketches(m.withColumn("g", F.lit(0)), ["v"], [])
     assert sorted(map(tuple, quality.merge(cells, []).select("feature", "cell", "n").collect())) == sorted(map(tuple, whole.select("feature", "cell", "n").collect()))
     exact = sorted(r["v"] for r in m.collect())[249]
-    q1 = quality.quartiles(whole, []).first()["q1"]
+    q1 = quality.quantiles(whole, [], {"q1": F.lit(250)}).first()["q1"]
     assert q1 <= exact <= q1 * (1 + 1 / 32) + 1
 
 
+def test_repetition_is_judged_by_its_source(docs_of):
+    """Below the base cutoff, what is usual in one source is out of line in another."""
+    import random
+
+    rng = random.Random(2)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    plain = lambda: " ".join(word() for _ in range(100))
+
+    def refrain():
+        part = " ".join(word() for _ in range(9))
+        return f"{part} {plain()} {part}"
+
+    rows = [(k, plain(), "en", "news") for k in range(400)] + [(1000 + k, refrain(), "en", "songs") for k in range(400)] + [(9999, refrain(), "en", "news")]
+    got = {r["doc_id"]: r for r in quality.judge(docs_of(rows), beyond=4).collect()}
+    assert not got[9999]["base_failed"] and got[9999]["repeat_rate"] > 100
+    assert {k for k, r in got.items() if not r["kept"]} == {9999}
+
+
+def test_fences_rest_on_what_passes_the_base(docs_of):
+    """A source full of repeated junk doesn't raise its own fence."""
+    import random
+
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    junk = [(2000 + k, " ".join(["#| buy now #| at once"] * 30), "en", "web") for k in range(400)]
+    rows = [(k, " ".join(word() for _ in range(60)), "en", "web") for k in range(300)] + [(999, " ".join(word() + "#" for _ in range(60)), "en", "web")]
+    got = quality.judge(docs_of(rows + junk)).collect()
+    assert {r["doc_id"] for r in got if not r["kept"]} == {999} | {i for i, *_ in junk}
+
+
 def test_url_lists(spark):
     import datetime as dt
 
