@@ -3,8 +3,8 @@
 Base spans are those of three patterns. The method adds a fourth kind, ``generic``: long mixed
 strings that look like credentials but that no pattern vouches for. They count only if the corpus
 does: candidate values are hashed and tallied by distinct repositories and owners. A value that
-few owners hold is a live-looking credential of those owners; one that many unrelated owners
-hold is an example copied around.
+few owners hold, in few repositories, is a live-looking credential of those owners; one that many
+owners hold, or that is in many repositories of few owners, is an example copied around.
 
 The text is scanned once. What leaves the scan is compact (spans and hashes, never text), is
 settled, and only rows that hold candidates take part in the tally, the join and the regrouping.
@@ -26,8 +26,9 @@ KINDS = {
 }
 #: Long runs of credential characters; a match must also mix upper case, lower case and digits.
 GENERIC = r"([A-Za-z0-9+/_=-]{24,})"
-#: A value held by more owners than this is a copied example.
+#: A value held by more owners than this, or in more repositories, is a copied example.
 MAX_OWNERS = 3
+MAX_REPOS = 20
 
 
 def find_spans(text: Column, kind: str, pattern: str, group: int, least: int, check: Column | None = None) -> Column:
@@ -107,8 +108,8 @@ def scan(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), **how) -> DataFra
     ``found``: array<struct(start, rank, end, kind, owners, repos, live, base)> in order.
 
     ``found`` has every base span and those generic spans whose value is live: held by at most
-    ``max_owners`` owners. n_live and n_example count all candidate values, generic ones of either
-    verdict included, so widely copied examples stay visible. Null texts are empty; null owners
+    ``max_owners`` owners and in at most ``max_repos`` repositories. n_live and n_example count all
+    candidate values, generic ones of either verdict included, so widely copied examples stay visible. Null texts are empty; null owners
     together are one owner, null repositories one repository of theirs; repeated rows are repeated
     in the result. Columns of ``docs`` beside those named aren't touched.
     """
@@ -118,6 +119,7 @@ def scan(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), **how) -> DataFra
 
 def _scanned(
     docs: DataFrame, keep: tuple[str, ...], text: str = "text", owner: str = "source", repo: str = "doc_id", max_owners: int = MAX_OWNERS,
+    max_repos: int = MAX_REPOS,
 ) -> DataFrame:
     body = F.coalesce(F.col(text), F.lit(""))
     # only what is kept leaves this select; the text stays in the scan's own stage
@@ -138,7 +140,7 @@ def _scanned(
     each = scanned.where(F.size("_spans") > 0).select("_row", "_owner", "_repo", F.explode("_spans").alias("_s"))
     tally = settle(ownership(each.select(F.col("_s.hash").alias("hash"), F.col("_owner").alias("owner"), F.col("_repo").alias("repo"))), "ownership")
     judged = each.select("_row", "_s", F.col("_s.hash").alias("hash")).join(tally, "hash")
-    live = F.col("owners") <= max_owners
+    live = (F.col("owners") <= max_owners) & (F.col("repos") <= max_repos)
     span = F.struct(
         *(F.col(f"_s.{c}").alias(c) for c in ("start", "rank", "end", "kind")), "owners", "repos",
         live.alias("live"), (F.col("_s.kind") != "generic").alias("base"),
@@ -206,11 +208,12 @@ ORACLE = (
     + " UNION ALL ".join(_sql_spans(k, n, *KINDS[k]) for n, k in enumerate(KINDS))
     + "), more AS MATERIALIZED (SELECT * FROM ("
     + _sql_spans("generic", 3, GENERIC, 1, 1)
-    + """) g WHERE length(value) <= 256 AND regexp_matches(value, '[A-Z]') AND regexp_matches(value, '[a-z]') AND regexp_matches(value, '[0-9]')
+    + f""") g WHERE regexp_matches(value, '[A-Z]') AND regexp_matches(value, '[a-z]') AND regexp_matches(value, '[0-9]')
   AND NOT EXISTS (SELECT 1 FROM base s WHERE s.row = g.row AND s.b < g.b + g.n AND g.b < s.b + s.n)),
 every AS (SELECT * FROM base UNION ALL SELECT * FROM more),
-owned AS (SELECT value, count(DISTINCT coalesce(source, chr(0))) AS owners FROM every GROUP BY value),
-judged AS (SELECT e.*, o.owners <= 3 AS live FROM every e JOIN owned o USING (value)),
+owned AS (SELECT value, count(DISTINCT coalesce(source, chr(0))) AS owners, count(DISTINCT (coalesce(source, chr(0)), coalesce(doc_id::VARCHAR, chr(0)))) AS repos
+  FROM every GROUP BY value),
+judged AS (SELECT e.*, o.owners <= {MAX_OWNERS} AND o.repos <= {MAX_REPOS} AS live FROM every e JOIN owned o USING (value)),
 per AS (SELECT row, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
   count(*) FILTER (kind = 'hex') AS n_hex, count(*) FILTER (live) AS n_live, count(*) FILTER (NOT live) AS n_example,
   string_agg(kind || ':' || b || ':' || (b + n), ',' ORDER BY b, rank) FILTER (rank < 3) AS base,

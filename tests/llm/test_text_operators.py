@@ -65,6 +65,15 @@ def test_long_credentials_are_live_and_masked(docs_of):
 
 
 def test_secrets_are_masked_and_other_columns_kept(docs_of):
+def test_many_repositories_of_one_owner_make_an_example(docs_of, dir_of, spark):
+    rows = [(k, f"copy {COPIED} {k}", "en", "hot") for k in range(25)] + [(100 + k, f"own {LIVE}", "en", "hot") for k in range(20)] + [(200, f"own {LIVE * 20}", "en", None)]
+    where = dir_of(documents=docs_of(rows))
+    got = {r["doc_id"]: r for r in secrets.op2_secrets(spark, where).collect()}
+    assert (got[0]["n_live"], got[0]["n_example"], got[0]["spans"]) == (0, 1, "")
+    assert got[100]["spans"] == f"generic:4:{4 + len(LIVE)}" and got[200]["n_live"] == 1
+    assert_same_documents(secrets.op2_secrets(spark, where), secrets.ORACLE, where)
+
+
     df = docs_of(SECRET_ROWS, clash=True)
     out = secrets.redact(df)
     assert out.columns == df.columns
