@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import binascii
+import collections
 import hashlib
 import re
 
@@ -25,7 +26,6 @@ SECRET_ROWS = [
 ]
 
 
-def base_secrets(text):
 def assert_same_documents(df, sql, where):
     """All rows equal those of ``sql`` over the folder's documents."""
     import duckdb
@@ -38,6 +38,7 @@ def assert_same_documents(df, sql, where):
     assert sorted(map(repr, map(tuple, df.select(*cols).collect()))) == sorted(map(repr, r.fetchall()))
 
 
+def base_secrets(text):
     out = []
     for k, (kind, (p, g, n)) in enumerate(SECRET.items()):
         out += [(m.start(), k, m.end(), kind) for m in p.finditer(text or "") if len(m[g]) >= n]
@@ -64,7 +65,6 @@ def test_long_credentials_are_live_and_masked(docs_of):
     assert {r["text"] for r in secrets.redact(df).collect()} == {"client-key-data: [SECRET] end", "nothing here"}
 
 
-def test_secrets_are_masked_and_other_columns_kept(docs_of):
 def test_many_repositories_of_one_owner_make_an_example(docs_of, dir_of, spark):
     rows = [(k, f"copy {COPIED} {k}", "en", "hot") for k in range(25)] + [(100 + k, f"own {LIVE}", "en", "hot") for k in range(20)] + [(200, f"own {LIVE * 20}", "en", None)]
     where = dir_of(documents=docs_of(rows))
@@ -74,6 +74,7 @@ def test_many_repositories_of_one_owner_make_an_example(docs_of, dir_of, spark):
     assert_same_documents(secrets.op2_secrets(spark, where), secrets.ORACLE, where)
 
 
+def test_secrets_are_masked_and_other_columns_kept(docs_of):
     df = docs_of(SECRET_ROWS, clash=True)
     out = secrets.redact(df)
     assert out.columns == df.columns
@@ -100,6 +101,8 @@ def test_quality_measures_and_base(docs_of, odd_rows, dir_of, spark):
     want = sorted((repr(i), *brute_measures(t)) for i, t, _, _ in rows)
     cols = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
     assert sorted((repr(r["doc_id"]), *(r[c] for c in cols)) for r in got) == want
+    where = dir_of(documents=docs_of(rows))
+    assert_same_documents(quality.op3_quality(spark, where), quality.ORACLE, where)
     for r in got:
         assert r["base_failed"] == (r["n_words"] < 10 or 100 * r["n_repeat_words"] > 20 * r["n_words"])
         assert not (r["kept"] and r["base_failed"])
@@ -110,8 +113,6 @@ def test_fences_adapt_to_the_group(docs_of):
     import random
 
     rng = random.Random(1)
-    where = dir_of(documents=docs_of(rows))
-    assert_same_documents(quality.op3_quality(spark, where), quality.ORACLE, where)
     word = lambda: "".join(rng.choice("abcdefgh") for _ in range(5))
     plain = lambda: " ".join(word() for _ in range(60))
     code = lambda: " ".join(word() + "##" for _ in range(60))
@@ -122,16 +123,6 @@ def test_fences_adapt_to_the_group(docs_of):
     assert quality.judge(docs_of([])).count() == 0
 
 
-def test_sketches_merge_exactly(spark):
-    m = spark.range(1000).select((F.col("id") % 3).alias("g"), (F.col("id") * 7 % 501).alias("v"))
-    cells = quality.sketches(m, ["v"], ["g"])
-    whole = quality.sketches(m.withColumn("g", F.lit(0)), ["v"], [])
-    assert sorted(map(tuple, quality.merge(cells, []).select("feature", "cell", "n").collect())) == sorted(map(tuple, whole.select("feature", "cell", "n").collect()))
-    exact = sorted(r["v"] for r in m.collect())[249]
-    q1 = quality.quantiles(whole, [], {"q1": F.lit(250)}).first()["q1"]
-    assert q1 <= exact <= q1 * (1 + 1 / 32) + 1
-
-
 def test_repetition_is_judged_by_its_source(docs_of):
     """Below the base cutoff, what is usual in one source is out of line in another."""
     import random
@@ -162,6 +153,16 @@ def test_fences_rest_on_what_passes_the_base(docs_of):
     assert {r["doc_id"] for r in got if not r["kept"]} == {999} | {i for i, *_ in junk}
 
 
+def test_sketches_merge_exactly(spark):
+    m = spark.range(1000).select((F.col("id") % 3).alias("g"), (F.col("id") * 7 % 501).alias("v"))
+    cells = quality.sketches(m, ["v"], ["g"])
+    whole = quality.sketches(m.withColumn("g", F.lit(0)), ["v"], [])
+    assert sorted(map(tuple, quality.merge(cells, []).select("feature", "cell", "n").collect())) == sorted(map(tuple, whole.select("feature", "cell", "n").collect()))
+    exact = sorted(r["v"] for r in m.collect())[249]
+    q1 = quality.quantiles(whole, [], {"q1": F.lit(250)}).first()["q1"]
+    assert q1 <= exact <= q1 * (1 + 1 / 32) + 1
+
+
 def test_url_lists(spark):
     import datetime as dt
 
@@ -254,6 +255,23 @@ def test_ranking_defined_results(docs_of, odd_rows, spark):
     assert len(ranking_kernel.features(b"x y " * 200_000)) == len(ranking_kernel.FEATURES)
 
 
+def test_features_count_over_the_whole_text():
+    """Repeats far apart in a long text are seen, as in a short one."""
+    import random
+
+    rng = random.Random(6)
+    at = {f: k for k, f in enumerate(ranking_kernel.FEATURES)}
+    for n, kinds in ((70_000, 90_000), (3000, 40), (7, 3), (4, 2), (1, 1)):
+        words = [b"%d" % rng.randrange(kinds) for _ in range(n)]
+        words[-6:] = words[:6][-len(words) :]
+        n = len(words)
+        x = ranking_kernel.features(b" ".join(words))
+        grams = [tuple(words[i : i + 5]) for i in range(n - 4)]
+        assert x[at["distinct_words"]] == len(set(words)) / n
+        assert x[at["top_word"]] == max(collections.Counter(words).values()) / n
+        assert x[at["repeated_5grams"]] == (len(grams) - len(set(grams))) / n
+
+
 @pytest.mark.parametrize("good", [0.0, 1.0])
 def test_bradley_terry_orders_pairs(good):
     import numpy as np
