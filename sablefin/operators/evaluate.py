@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from sablefin.session import settle
+
 SLICES = 64
 
 
@@ -20,6 +22,7 @@ def steps(df: DataFrame, score: str = "score", y: str = "y") -> DataFrame:
     ``cum_*`` count rows with this score or higher, ``below_n`` rows with a lower one.
     """
     per = df.where(F.col(score).isNotNull()).groupBy(F.col(score).alias("score")).agg(F.count(F.lit(1)).alias("n"), F.sum(F.col(y).cast("long")).alias("p"))
+    per = settle(per, "score-steps")  # read four times
     low, high = per.agg(F.min("score"), F.max("score")).first()
     if low is None:
         return per.select("score", "n", "p", F.lit(0).cast("long").alias("cum_n"), F.lit(0).cast("long").alias("cum_p"), F.lit(0).cast("long").alias("below_n"))
@@ -91,12 +94,16 @@ def at_budget(df: DataFrame, share: float, tie: list[str], score: str = "score",
 
 
 def percentile_rank(df: DataFrame, column: str, by: list[str] | None = None) -> DataFrame:
-    """``df`` with pct_rank: average rank over n, ties sharing their mean."""
+    """``df`` with pct_rank: average rank over n, ties sharing their mean. Without groups, ranks come from ``steps``."""
     by = by or []
-    per = df.groupBy(*by, column).agg(F.count(F.lit(1)).alias("_n"))
-    w = Window.partitionBy(*by)
-    below = F.coalesce(F.sum("_n").over(w.orderBy(column).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    per = per.withColumn("pct_rank", (below + (F.col("_n") + 1) / 2) / F.sum("_n").over(w)).drop("_n")
+    if by:
+        per = df.groupBy(*by, column).agg(F.count(F.lit(1)).alias("_n"))
+        w = Window.partitionBy(*by)
+        below = F.coalesce(F.sum("_n").over(w.orderBy(column).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        per = per.withColumn("pct_rank", (below + (F.col("_n") + 1) / 2) / F.sum("_n").over(w)).drop("_n")
+    else:
+        each = steps(df.withColumn("_y", F.lit(False)), column, "_y")
+        per = each.select(F.col("score").alias(column), ((F.col("below_n") + (F.col("n") + 1) / 2) / (F.col("below_n") + F.col("cum_n"))).alias("pct_rank"))
     return df.join(per, [*by, column])
 
 

@@ -46,20 +46,26 @@ def monthly(tx: DataFrame, risk: DataFrame) -> DataFrame:
     gap = F.datediff("txn_ts", F.lag("txn_ts").over(Window.partitionBy("customer_id").orderBy("txn_ts")))
     t = tx.join(F.broadcast(risk.select("country_key", "tier")), "country_key", "left")  # a row per country
     t = t.withColumn("_amt", money(F.col("amount"))).withColumn("gap", gap).withColumn("period", period())
-    # what a counterparty got this month, beside each of its rows: a sort within the same partitions
-    cp = F.sum("_amt").over(Window.partitionBy("customer_id", "period", "counterparty"))
-    t = t.withColumn("_cp", F.when(F.col("counterparty").isNotNull(), cp.cast("double")))
+    # What sets and sorted values would gather into one buffer a month is marked on rows instead, by windows within the
+    # same partitions: a counterparty's money and first row, a country's first row, the middle rows by amount.
+    cell = ("customer_id", "period")
+    of_cp, of_country = (Window.partitionBy(*cell, c) for c in ("counterparty", "country_key"))
+    by_amount = Window.partitionBy(*cell).orderBy(F.asc_nulls_last("amount"))
+    cp = F.sum("_amt").over(of_cp)
+    t = t.withColumn("_cp", F.when(F.col("counterparty").isNotNull(), cp.cast("double"))).withColumn("_new_cp", F.col("counterparty").isNotNull() & (F.row_number().over(of_cp.orderBy("counterparty")) == 1))
+    t = t.withColumn("_new_country", F.col("country_key").isNotNull() & (F.row_number().over(of_country.orderBy("country_key")) == 1))
+    known = F.count("amount").over(by_amount.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    t = t.withColumn("_place", F.row_number().over(by_amount)).withColumn("_known", known)
+    middle = (F.col("_place") <= F.col("_known")) & F.abs(2 * F.col("_place") - F.col("_known") - 1).between(0, 1)
     hour, day, a = F.hour("txn_ts"), F.dayofweek("txn_ts"), F.col("amount")
-    # distinct counts as set sizes: countDistinct would expand rows and shuffle twice more
-    distinct = lambda c: F.size(F.collect_set(c)).cast("long")
     return t.groupBy("customer_id", "period").agg(
         F.count(F.lit(1)).alias("txn_count"), _amount().alias("total_amount"), F.max("amount").alias("max_amount"),
-        F.coalesce(F.stddev_samp("amount"), F.lit(0.0)).alias("std_amount"), F.percentile("amount", 0.5).alias("median_amount"),
+        F.coalesce(F.stddev_samp("amount"), F.lit(0.0)).alias("std_amount"), F.avg(F.when(middle, a)).alias("median_amount"),
         _amount(F.col("direction") == "CREDIT").alias("credit_amount"), _amount(F.col("direction") == "DEBIT").alias("debit_amount"), _count(F.col("direction") == "CREDIT").alias("credits"),
         _amount(F.col("channel") == "CASH").alias("cash_amount"), _count(F.col("channel") == "CASH").alias("cash_txns"),
         _amount(F.col("channel") == "WIRE").alias("wire_amount"), _amount(F.col("channel") == "CARD").alias("card_amount"),
         _count(a.between(7500, 9999.99)).alias("near_ctr_count"), _count(a == F.round(a / 1000.0) * 1000.0).alias("rounds"), _count(a >= 10000).alias("ctr_count"),
-        _amount(F.col("is_cross_border")).alias("cross_border_amount"), distinct("country_key").alias("distinct_countries"), distinct("counterparty").alias("distinct_counterparties"),
+        _amount(F.col("is_cross_border")).alias("cross_border_amount"), _count(F.col("_new_country")).alias("distinct_countries"), _count(F.col("_new_cp")).alias("distinct_counterparties"),
         _count((hour < 7) | (hour >= 20)).alias("nights"), _count(day.isin(1, 7)).alias("weekends"), F.min("txn_ts").alias("first_ts"), F.max("txn_ts").alias("last_ts"),
         _amount(F.col("tier") == "HIGH").alias("high_risk_amount"), _amount(F.col("tier") == "MEDIUM").alias("medium_risk_amount"), F.coalesce(_count(F.col("tier") == "HIGH"), F.lit(0)).alias("high_risk_count"),
         F.coalesce(F.max("gap"), F.lit(0)).alias("max_gap_days"), F.coalesce(F.max("_cp"), F.lit(0.0)).alias("top_cp_amount"),
@@ -101,8 +107,7 @@ def finite(c: Column) -> Column:
 
 def peer_medians(train: DataFrame, columns: tuple[str, ...] = PEER) -> DataFrame:
     """(behaviour_segment, med_*): exact medians by segment; the row of the null segment is the global one."""
-    own = exact_quantiles(train, ["behaviour_segment"], list(columns), 0.5, "med_")
-    return own.unionByName(exact_quantiles(train, [], list(columns), 0.5, "med_").withColumn("behaviour_segment", F.lit(None).cast("string")))
+    return exact_quantiles(train, ["behaviour_segment"], list(columns), 0.5, "med_", grand=True)
 
 
 def shrink_targets(train: DataFrame, columns: tuple[str, ...] = SHRUNK) -> DataFrame:

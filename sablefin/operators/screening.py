@@ -17,7 +17,7 @@ from pyspark.sql.window import Window
 
 from sablefin.config import SCREENING_GRID, Screening
 from sablefin.functions import metaphone, names, similarity
-from sablefin.session import ship
+from sablefin.session import settle, ship
 
 NAME_TYPE = (
     "latin string, normalized string, tokens array<string>, sorted_key string, initials string, script string, is_organization boolean, "
@@ -69,7 +69,7 @@ def normalized(name: Column, cfg: Screening) -> Column:
             seen = {x: _as_row(x, cfg) for x in s.unique()}
             yield pd.DataFrame([seen[x] for x in s], columns=cols)
 
-    return run(name)
+    return run.asNondeterministic()(name)
 
 
 def references(watchlist: DataFrame, cfg: Screening) -> DataFrame:
@@ -108,18 +108,38 @@ def candidates(subs: DataFrame, refs: DataFrame, cfg: Screening) -> DataFrame:
 
 
 @F.pandas_udf(T.DoubleType())
-def _jw(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([similarity.jaro_winkler(x, y) for x, y in zip(a, b, strict=True)])
+def _compare(a: pd.Series, b: pd.Series) -> pd.Series:
+    return pd.Series(similarity.jaro_winkler_many(a.fillna("").tolist(), b.fillna("").tolist()))
+
+
+#: Kernels are marked as not deterministic so that a filter on their result isn't planned as a second evaluation.
+_jw = _compare.asNondeterministic()
+
+
+def likely(subs: DataFrame, refs: DataFrame, cfg: Screening) -> DataFrame:
+    """(subject_id, uid, pos, pre): the candidates whose sorted keys are alike enough.
+
+    Names repeat among subjects and references, so blocks are met and keys compared once per pair of distinct names; what
+    passes is joined to those who bear them.
+    """
+    big = refined_keys(refs, cfg)
+    left = _keyed(subs.select("n", F.col("n.normalized").alias("s_name"), F.col("n.sorted_key").alias("s_key")), big, "s_name", "s_key").distinct()
+    right = _keyed(refs.select("n", F.col("n.normalized").alias("r_name"), F.col("n.sorted_key").alias("r_key")), big, "r_name", "r_key").distinct()
+    pairs = left.join(right, "key").select("s_name", "s_key", "r_name", "r_key").distinct()
+    pre = F.lit(1.0) if cfg.prefilter <= 0 else _jw(F.col("s_key"), F.col("r_key"))
+    pairs = pairs.select("s_name", "r_name", pre.alias("pre")).where(F.col("pre") >= cfg.prefilter)
+    bearers = subs.select("subject_id", F.col("n.normalized").alias("s_name"))
+    return pairs.join(bearers, "s_name").join(refs.select("uid", "pos", F.col("n.normalized").alias("r_name")), "r_name").select("subject_id", "uid", "pos", "pre")
 
 
 def shortlist(pairs: DataFrame, cfg: Screening) -> DataFrame:
-    """Pairs whose sorted keys are alike enough, at most ``shortlist`` a subject; ``cut`` says a subject had more."""
+    """At most ``shortlist`` of ``pairs``(subject_id, uid, pos, pre) a subject; ``cut`` says a subject had more."""
     if cfg.prefilter <= 0:
-        return pairs.withColumn("pre", F.lit(1.0)).withColumn("cut", F.lit(False))
-    p = pairs.withColumn("pre", _jw(F.col("ns.sorted_key"), F.col("nr.sorted_key"))).where(F.col("pre") >= cfg.prefilter)
+        return pairs.withColumn("cut", F.lit(False))
     w = Window.partitionBy("subject_id")
-    k = F.row_number().over(w.orderBy(F.desc("pre"), "uid", "pos"))
-    return p.withColumn("_k", k).withColumn("cut", F.count(F.lit(1)).over(w) > cfg.shortlist).where(F.col("_k") <= cfg.shortlist).drop("_k")
+    order = w.orderBy(F.desc("pre"), "uid", "pos")
+    more = F.count(F.lit(1)).over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)) > cfg.shortlist
+    return pairs.withColumn("_k", F.row_number().over(order)).withColumn("cut", more).where(F.col("_k") <= cfg.shortlist).drop("_k")
 
 
 def signals(cfg: Screening):
@@ -136,7 +156,7 @@ def signals(cfg: Screening):
             out.append((max(direct, swapped), similarity.token_set(x, y), metaphone.similarity(l, r), len(i & j) / max(len(i), len(j), 1), swapped > direct + 1e-9))
         return pd.DataFrame(out, columns=["jw", "token_set", "phonetic", "initials", "order_swapped"])
 
-    return run
+    return run.asNondeterministic()
 
 
 def initials_similarity(a: Column, b: Column) -> Column:
@@ -188,10 +208,11 @@ ALERT = (
 def screen_many(people: DataFrame, watchlist: DataFrame, cfg: Screening | None = None, top_n: int = 3, min_score: float = 0.70, digits: int | None = 6) -> DataFrame:
     """ALERT rows: per subject the ``top_n`` entities of at least ``min_score``, one row an entity."""
     cfg = cfg or Screening()
-    refs, subs = references(watchlist, cfg), subjects(people, cfg)
-    pairs = candidates(subs, refs, cfg)
-    pairs = pairs.join(subs.withColumnRenamed("n", "ns"), "subject_id").join(refs.withColumnRenamed("n", "nr"), ["uid", "pos"])
-    short = shortlist(pairs, cfg)
+    # normalised once: blocks, keys and details are read from the tables
+    refs, subs = settle(references(watchlist, cfg), "references"), settle(subjects(people, cfg), "subjects")
+    # pairs carry ids only; details join what the shortlist leaves
+    short = shortlist(likely(subs, refs, cfg), cfg)
+    short = short.join(subs.withColumnRenamed("n", "ns"), "subject_id").join(refs.withColumnRenamed("n", "nr"), ["uid", "pos"])
     scored = corroborated(short.withColumn("sig", signals(cfg)(F.col("ns.normalized"), F.col("nr.normalized"), F.col("ns.tokens"), F.col("nr.tokens"))), cfg)
     scored = scored.where(F.col("final_score") >= min_score)
     best = Window.partitionBy("subject_id", "uid").orderBy(F.desc("final_score"), F.when(F.col("cut"), -F.col("pre")), "pos")

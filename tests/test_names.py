@@ -49,6 +49,15 @@ def test_phonetic_similarity_divides_by_the_longer_name():
     assert metaphone.similarity((), ("ali",)) == 0.0
 
 
+def test_jaro_winkler_of_many_equals_that_of_one():
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("abcé ") for _ in range(rng.randint(0, 14)))
+    a, b = [word() for _ in range(3000)], [word() for _ in range(3000)]
+    a[:3], b[:3] = ["", "same", "x" * 60], ["", "same", "x" * 59 + "y"]
+    assert similarity.jaro_winkler_many(a, b, block=1000).tolist() == [similarity.jaro_winkler(x, y) for x, y in zip(a, b, strict=True)]
+    assert similarity.jaro_winkler_many([""], [""]).tolist() == [0.0] and len(similarity.jaro_winkler_many([], [])) == 0
+
+
 def test_jaro_winkler_equals_another_engine():
     c, rng = duckdb.connect(), random.Random(3)
     for _ in range(500):
