@@ -35,7 +35,7 @@ def tiers(spark: SparkSession) -> DataFrame:
     return spark.range(25).select(F.col("id").cast("int").alias("country_key"), F.when(F.col("id") < 5, "HIGH").when(F.col("id") < 10, "MEDIUM").otherwise("LOW").alias("tier"))
 
 
-def run_batch(spark: SparkSession, out: Path, n_watch: int = 200, n_customers: int = 500, n_tx: int = 20_000, seed: int = 1, some: dict[str, Scenario] | None = None) -> dict[str, Any]:
+def run_batch(spark: SparkSession, out: Path, n_watch: int = 200, n_customers: int = 500, n_tx: int = 20_000, seed: int = 1, some: dict[str, Scenario] | None = None, boosted: dict[str, models.Boosting] | None = None, trees: int = 200) -> dict[str, Any]:
     """Run every stage on a generated feed and write its artefacts to ``out``. Returns the metrics.
 
     Two runs with equal arguments write equal bytes, but for VOLATILE files.
@@ -91,7 +91,9 @@ def run_batch(spark: SparkSession, out: Path, n_watch: int = 200, n_customers: i
     x = settle(x.join(split, "customer_id"), "matrix")
     cols = [c for c in x.columns if c not in ("customer_id", "period", "behaviour_segment", "y", "is_test")]
     learn, test, key = x.where("not is_test"), x.where("is_test"), ["customer_id", "period"]
-    scores = {"boosted_shallow": models.boosted_scores(learn, test, cols, models.Boosting(5, 3, 0.3), key)[0], "isolation": models.isolation_scores(learn, test, cols, key, trees=50)}
+    boosted = boosted or {"boosted_shallow": models.SHALLOW, "boosted_deep": models.DEEP}
+    scores = {name: models.boosted_scores(learn, test, cols, conf, key)[0] for name, conf in boosted.items()}
+    scores["isolation"] = models.isolation_scores(learn, test, cols, key, trees=trees)
     metrics["models"] = {}
     for name, s in scores.items():
         s = settle(s, f"scores-{name}")

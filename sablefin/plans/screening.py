@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -11,6 +9,7 @@ from pyspark.sql.window import Window
 from sablefin.config import Screening
 from sablefin.operators import models, screening as sc
 from sablefin.plans.features import SEGMENTS, transformed
+from sablefin.session import settle
 from sablefin.sources import generator, tables as t
 from sablefin.operators.features import BASE, PEER, SELF
 
@@ -110,12 +109,26 @@ def _matrices(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     month = F.substring("period", 6, 2).cast("int")
     # a label that depends on the features, so that there is something to learn
     y = (F.col("cash_share") > 0.5) & ((F.col("customer_id") * 31 + month) % 3 != 0)
-    x = x.withColumn("y", y)
+    x = settle(x.withColumn("y", y), "model-matrix")  # every round of fitting reads it
     return x.where("customer_id % 4 <> 0"), x.where("customer_id % 4 = 0")
 
 
 KEY = ["customer_id", "period"]
-_add("gbt_scores", lambda s, d: models.boosted_scores(*_matrices(s, d), ["cash_share", "cash_txn_share", "wire_share", "txn_count", "total_amount", "max_gap_days"], models.Boosting(5, 3, 0.3), KEY)[0])
-_add("isolation_scores", lambda s, d: models.isolation_scores(*_matrices(s, d), MODEL_FEATURES, KEY, trees=50))
-_add("generated_labels", lambda s, d: generator.labels(generator.transactions(s, 500, 20_000)).groupBy("typology").agg(F.count(F.lit(1)).alias("cells")))
 
+
+def _boosted(conf: models.Boosting):
+    return lambda spark, d: models.boosted_scores(*_matrices(spark, d), MODEL_FEATURES, conf, KEY)[0]
+
+
+_add("gbt_scores", _boosted(models.SHALLOW))
+_add("gbt_deep_scores", _boosted(models.DEEP))
+_add("isolation_scores", lambda s, d: models.isolation_scores(*_matrices(s, d), MODEL_FEATURES, KEY))
+
+
+def generated_labels(spark: SparkSession, d: str) -> DataFrame:
+    """Labelled cells by typology of a generated feed with as many customers and transactions as the tables hold."""
+    n, tx = (t.read_table(spark, d, name).count() for name in ("customer", "lineitem"))
+    return generator.labels(generator.transactions(spark, n, tx)).groupBy("typology").agg(F.count(F.lit(1)).alias("cells"))
+
+
+_add("generated_labels", generated_labels)

@@ -9,13 +9,14 @@ import pytest
 
 from sablefin.config import from_yaml, scenarios
 from sablefin.operators import audit
+from sablefin.operators.models import Boosting
 from sablefin.plans import batch
 
 
 def test_two_runs_write_equal_bytes(spark, tmp_path):
     kept = {k: v for k, v in scenarios().items() if k[:3] in ("R01", "R06", "R08")}
     for n in ("a", "b"):
-        m = batch.run_batch(spark, tmp_path / n, n_watch=60, n_customers=150, n_tx=5000, some=kept)
+        m = batch.run_batch(spark, tmp_path / n, n_watch=60, n_customers=150, n_tx=5000, some=kept, boosted={"boosted_shallow": Boosting(5, 3, 0.3)}, trees=50)
     a, b = (audit.manifest(tmp_path / n, batch.VOLATILE) for n in ("a", "b"))
     assert audit.diff_manifests(a, b) == {"only_left": [], "only_right": [], "differ": []} and len(a) >= 9
     assert m["blocking"]["recall"] > 0.8 and m["audit_records"] > 0
