@@ -26,6 +26,12 @@ BASE = (
     "high_risk_amount", "high_risk_share", "medium_risk_share", "high_risk_count", "top_counterparty_share", "max_gap_days", "account_age_days",
     "kyc_risk_ordinal", "is_pep", "nationality_high_risk",
 )
+#: Of these, counts, ordinals and sums of exact amounts: no float arithmetic behind their last bits.
+EXACT = (
+    "month_of_year", "txn_count", "total_amount", "max_amount", "credit_amount", "debit_amount", "cash_amount", "near_ctr_count", "ctr_count",
+    "distinct_countries", "distinct_counterparties", "active_span_days", "high_risk_amount", "high_risk_count", "max_gap_days", "account_age_days",
+    "kyc_risk_ordinal", "is_pep", "nationality_high_risk", "prior_month_amount", "is_first_active_month",
+)
 SELF = ("prior_month_amount", "amount_vs_prior", "count_vs_prior", "amount_vs_trailing_mean", "is_first_active_month")
 KEY = ("customer_id", "period")
 
@@ -40,22 +46,28 @@ def _count(test: Column) -> Column:
     return F.sum(test.cast("long"))
 
 
+def _ranks(rank: str) -> Column:
+    return F.coalesce(F.max(rank), F.lit(0)).cast("long")
+
+
 def monthly(tx: DataFrame, risk: DataFrame) -> DataFrame:
     """One row per active customer-month with everything that is a sum, extreme or quantile over its
     transactions, corridor money and gaps included. One exchange."""
     gap = F.datediff("txn_ts", F.lag("txn_ts").over(Window.partitionBy("customer_id").orderBy("txn_ts")))
     t = tx.join(F.broadcast(risk.select("country_key", "tier")), "country_key", "left")  # a row per country
     t = t.withColumn("_amt", money(F.col("amount"))).withColumn("gap", gap).withColumn("period", period())
-    # What sets and sorted values would gather into one buffer a month is marked on rows instead, by windows within the
-    # same partitions: a counterparty's money and first row, a country's first row, the middle rows by amount.
-    cell = ("customer_id", "period")
-    of_cp, of_country = (Window.partitionBy(*cell, c) for c in ("counterparty", "country_key"))
-    by_amount = Window.partitionBy(*cell).orderBy(F.asc_nulls_last("amount"))
-    cp = F.sum("_amt").over(of_cp)
-    t = t.withColumn("_cp", F.when(F.col("counterparty").isNotNull(), cp.cast("double"))).withColumn("_new_cp", F.col("counterparty").isNotNull() & (F.row_number().over(of_cp.orderBy("counterparty")) == 1))
-    t = t.withColumn("_new_country", F.col("country_key").isNotNull() & (F.row_number().over(of_country.orderBy("country_key")) == 1))
-    known = F.count("amount").over(by_amount.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    t = t.withColumn("_place", F.row_number().over(by_amount)).withColumn("_known", known)
+    # What sets and sorted values would gather into one buffer a month is marked on rows instead, by three windows over
+    # the month's rows within the same partitions: a rank and the money of each counterparty, a rank of each country, the
+    # place of each row by amount. Ranks count distinct values; nulls come last and are left out.
+    cell = Window.partitionBy("customer_id", "period")
+    by_cp, by_country, by_amount = (cell.orderBy(F.asc_nulls_last(c)) for c in ("counterparty", "country_key", "amount"))
+    of_known = lambda key, c: F.when(F.col(key).isNotNull(), c)
+    whole = by_amount.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    t = t.select(
+        "*", of_known("counterparty", F.sum("_amt").over(by_cp.rangeBetween(Window.currentRow, Window.currentRow)).cast("double")).alias("_cp"),
+        of_known("counterparty", F.dense_rank().over(by_cp)).alias("_cp_rank"), of_known("country_key", F.dense_rank().over(by_country)).alias("_country_rank"),
+        F.row_number().over(by_amount).alias("_place"), F.count("amount").over(whole).alias("_known"),
+    )
     middle = (F.col("_place") <= F.col("_known")) & F.abs(2 * F.col("_place") - F.col("_known") - 1).between(0, 1)
     hour, day, a = F.hour("txn_ts"), F.dayofweek("txn_ts"), F.col("amount")
     return t.groupBy("customer_id", "period").agg(
@@ -65,7 +77,7 @@ def monthly(tx: DataFrame, risk: DataFrame) -> DataFrame:
         _amount(F.col("channel") == "CASH").alias("cash_amount"), _count(F.col("channel") == "CASH").alias("cash_txns"),
         _amount(F.col("channel") == "WIRE").alias("wire_amount"), _amount(F.col("channel") == "CARD").alias("card_amount"),
         _count(a.between(7500, 9999.99)).alias("near_ctr_count"), _count(a == F.round(a / 1000.0) * 1000.0).alias("rounds"), _count(a >= 10000).alias("ctr_count"),
-        _amount(F.col("is_cross_border")).alias("cross_border_amount"), _count(F.col("_new_country")).alias("distinct_countries"), _count(F.col("_new_cp")).alias("distinct_counterparties"),
+        _amount(F.col("is_cross_border")).alias("cross_border_amount"), _ranks("_country_rank").alias("distinct_countries"), _ranks("_cp_rank").alias("distinct_counterparties"),
         _count((hour < 7) | (hour >= 20)).alias("nights"), _count(day.isin(1, 7)).alias("weekends"), F.min("txn_ts").alias("first_ts"), F.max("txn_ts").alias("last_ts"),
         _amount(F.col("tier") == "HIGH").alias("high_risk_amount"), _amount(F.col("tier") == "MEDIUM").alias("medium_risk_amount"), F.coalesce(_count(F.col("tier") == "HIGH"), F.lit(0)).alias("high_risk_count"),
         F.coalesce(F.max("gap"), F.lit(0)).alias("max_gap_days"), F.coalesce(F.max("_cp"), F.lit(0.0)).alias("top_cp_amount"),

@@ -30,8 +30,11 @@ def _sig(c: str) -> str:
     return f"round({c}, 6)"
 
 
-def _rounded(df: DataFrame, keep: list[str]) -> DataFrame:
-    return df.select(*keep, *(F.round(F.col(c).cast("double"), 6).alias(c) for c in df.columns if c not in keep))
+def _rounded(df: DataFrame, keep: list[str], digits: int = 6) -> DataFrame:
+    """All but ``keep`` as doubles, rounded where float arithmetic made them: rounding goes through decimals and is slow."""
+    exact = {*f.EXACT, *(c for c in df.columns if c.startswith("segment_"))}
+    number = lambda c: F.col(c).cast("double")
+    return df.select(*keep, *(number(c).alias(c) if c in exact else F.round(number(c), digits).alias(c) for c in df.columns if c not in keep))
 
 
 _MONTHLY = f"""SELECT customer_id, period, count(*) AS txn_count, {_m()} AS total_amount, max(amount) AS max_amount, coalesce(stddev_samp(amount), 0) AS std_amount,
@@ -110,8 +113,7 @@ def transformed(spark: SparkSession, d: str) -> DataFrame:
 
 
 def features_transformed(spark: SparkSession, d: str) -> DataFrame:
-    out = transformed(spark, d)
-    return out.select("customer_id", "period", "behaviour_segment", *(F.round(F.col(c).cast("double"), 5).alias(c) for c in out.columns[3:]))
+    return _rounded(transformed(spark, d), ["customer_id", "period", "behaviour_segment"], 5)
 
 
 def _clip(x: str) -> str:

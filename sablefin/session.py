@@ -20,6 +20,10 @@ def get_spark(app: str = "sablefin", cores: str = "*", shuffle_partitions: int =
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # the JVM does not compile methods over 8,000 bytes: wide rows are better off in separate operators
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
+        .config("spark.sql.codegen.maxFields", "30")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
