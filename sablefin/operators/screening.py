@@ -117,29 +117,27 @@ _jw = _compare.asNondeterministic()
 
 
 def likely(subs: DataFrame, refs: DataFrame, cfg: Screening) -> DataFrame:
-    """(subject_id, uid, pos, pre): the candidates whose sorted keys are alike enough.
-
-    Names repeat among subjects and references, so blocks are met and keys compared once per pair of distinct names; what
-    passes is joined to those who bear them.
-    """
+    """(s_name, r_name, pre): the distinct names that share a block and whose sorted keys are alike enough."""
     big = refined_keys(refs, cfg)
     left = _keyed(subs.select("n", F.col("n.normalized").alias("s_name"), F.col("n.sorted_key").alias("s_key")), big, "s_name", "s_key").distinct()
     right = _keyed(refs.select("n", F.col("n.normalized").alias("r_name"), F.col("n.sorted_key").alias("r_key")), big, "r_name", "r_key").distinct()
     pairs = left.join(right, "key").select("s_name", "s_key", "r_name", "r_key").distinct()
     pre = F.lit(1.0) if cfg.prefilter <= 0 else _jw(F.col("s_key"), F.col("r_key"))
-    pairs = pairs.select("s_name", "r_name", pre.alias("pre")).where(F.col("pre") >= cfg.prefilter)
-    bearers = subs.select("subject_id", F.col("n.normalized").alias("s_name"))
-    return pairs.join(bearers, "s_name").join(refs.select("uid", "pos", F.col("n.normalized").alias("r_name")), "r_name").select("subject_id", "uid", "pos", "pre")
+    return pairs.select("s_name", "r_name", pre.alias("pre")).where(F.col("pre") >= cfg.prefilter)
 
 
-def shortlist(pairs: DataFrame, cfg: Screening) -> DataFrame:
-    """At most ``shortlist`` of ``pairs``(subject_id, uid, pos, pre) a subject; ``cut`` says a subject had more."""
+def shortlist(pairs: DataFrame, refs: DataFrame, cfg: Screening) -> DataFrame:
+    """(s_name, r_name, uid, pos, pre, cut): at most ``shortlist`` references a subject's name; ``cut`` says it had more.
+
+    A shortlist follows from the name alone, so it is taken once a distinct name and not once a subject who bears it. Only
+    one reference more than it holds is kept a name, and that before the shuffle.
+    """
+    d = pairs.join(refs.select("uid", "pos", F.col("n.normalized").alias("r_name")), "r_name").select("s_name", "r_name", "uid", "pos", "pre")
     if cfg.prefilter <= 0:
-        return pairs.withColumn("cut", F.lit(False))
-    w = Window.partitionBy("subject_id")
-    order = w.orderBy(F.desc("pre"), "uid", "pos")
-    more = F.count(F.lit(1)).over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)) > cfg.shortlist
-    return pairs.withColumn("_k", F.row_number().over(order)).withColumn("cut", more).where(F.col("_k") <= cfg.shortlist).drop("_k")
+        return d.withColumn("cut", F.lit(False))
+    w = Window.partitionBy("s_name")
+    d = d.withColumn("_k", F.row_number().over(w.orderBy(F.desc("pre"), "uid", "pos"))).where(F.col("_k") <= cfg.shortlist + 1)
+    return d.withColumn("cut", F.max("_k").over(w) > cfg.shortlist).where(F.col("_k") <= cfg.shortlist).drop("_k")
 
 
 def signals(cfg: Screening):
@@ -210,10 +208,12 @@ def screen_many(people: DataFrame, watchlist: DataFrame, cfg: Screening | None =
     cfg = cfg or Screening()
     # normalised once: blocks, keys and details are read from the tables
     refs, subs = settle(references(watchlist, cfg), "references"), settle(subjects(people, cfg), "subjects")
-    # pairs carry ids only; details join what the shortlist leaves
-    short = shortlist(likely(subs, refs, cfg), cfg)
-    short = short.join(subs.withColumnRenamed("n", "ns"), "subject_id").join(refs.withColumnRenamed("n", "nr"), ["uid", "pos"])
-    scored = corroborated(short.withColumn("sig", signals(cfg)(F.col("ns.normalized"), F.col("nr.normalized"), F.col("ns.tokens"), F.col("nr.tokens"))), cfg)
+    # names are compared and scored once however many bear them; subjects and details join what the shortlist leaves
+    s_name, r_name = F.col("s_name"), F.col("r_name")
+    short = shortlist(likely(subs, refs, cfg), refs, cfg).withColumn("sig", signals(cfg)(s_name, r_name, F.split(s_name, " "), F.split(r_name, " "))).drop("r_name")
+    short = short.join(refs.withColumnRenamed("n", "nr"), ["uid", "pos"])
+    people = subs.withColumn("s_name", F.col("n.normalized")).withColumnRenamed("n", "ns")
+    scored = corroborated(short.join(people, "s_name"), cfg)
     scored = scored.where(F.col("final_score") >= min_score)
     best = Window.partitionBy("subject_id", "uid").orderBy(F.desc("final_score"), F.when(F.col("cut"), -F.col("pre")), "pos")
     one = scored.withColumn("_b", F.row_number().over(best)).where("_b = 1")
