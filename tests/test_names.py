@@ -129,6 +129,20 @@ def test_refined_blocks_lose_no_name(spark):
     assert all((f"U{k}", f"U{k}") in pairs for k in range(8))
 
 
+@pytest.mark.parametrize(("size", "cut", "kept"), [(2, True, ["U0", "U1"]), (3, False, ["U0", "U1", "U2"]), (4, False, ["U0", "U1", "U2"])])
+def test_shortlists_are_taken_once_a_name(spark, size, cut, kept):
+    """Ties go to the smaller uid, and all who bear a name get its shortlist."""
+    schema = "uid string, name string, aliases string, program string, dob string, nationality string, national_id string"
+    refs = spark.createDataFrame([(f"U{k}", "Sergei Ivanov", None, "P", None, None, None) for k in range(3)], schema)
+    subs = spark.createDataFrame([(f"S{k}", "Ivanov Sergei", None, None, None) for k in range(2)], "subject_id string, name string, dob string, nationality string, national_id string")
+    cfg = Screening(shortlist=size)
+    r, s = sc.references(refs, cfg), sc.subjects(subs, cfg)
+    got = sc.shortlist(sc.likely(s, r, cfg), r, cfg).orderBy("uid").collect()
+    assert [(x["uid"], x["cut"]) for x in got] == [(u, cut) for u in kept]
+    alerts = {(x["subject_id"], x["watchlist_uid"]) for x in sc.screen_many(subs, refs, cfg).collect()}
+    assert alerts == {(f"S{k}", u) for k in range(2) for u in kept}
+
+
 def test_blocking_prunes_and_recalls(spark, sf):
     from sablefin.plans.screening import _feed
 
