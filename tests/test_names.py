@@ -129,6 +129,36 @@ def test_refined_blocks_lose_no_name(spark):
     assert all((f"U{k}", f"U{k}") in pairs for k in range(8))
 
 
+REFS = "uid string, name string, aliases string, program string, dob string, nationality string, national_id string"
+SUBS = "subject_id string, name string, dob string, nationality string, national_id string"
+
+
+@pytest.mark.parametrize("most", [2, 250])
+def test_candidates_are_counted_as_pairs_would_be(spark, most):
+    """Ids that are null or borne twice, aliases, names without letters, and blocks that are split."""
+    names = [f"{g} {f}" for g in "Sergei Ivan Anna Wei Omar".split() for f in "Ivanov Petrov Zhang Hassan".split()]
+    refs = spark.createDataFrame([(f"U{k % 17}", n, names[-k] if k % 3 else None, "P", None, None, None) for k, n in enumerate(names)] + [(None, "Ivanov Sergei", "?", "P", None, None, None)], REFS)
+    subs = spark.createDataFrame([(f"S{k % 13}", n, None, None, None) for k, n in enumerate(names)] + [(None, "Omar Hassan", None, None, None), ("X", "123", None, None, None), ("Y", None, None, None, None)], SUBS)
+    cfg = Screening(max_block=most)
+    r, s = sc.references(refs, cfg), sc.subjects(subs, cfg)
+    want = sorted(sc.candidates(s, r, cfg).groupBy("subject_id").count().collect(), key=repr)
+    got = sorted(sc.candidate_counts(s, r, cfg).collect(), key=repr)
+    assert len(got) > 13 and [tuple(x) for x in got] == [tuple(x) for x in want]
+
+
+def _many_of_one_name(spark, n):
+    k = spark.range(n).select(F.concat(F.lit("K"), "id").alias("uid"), F.lit("Sergei Ivanov").alias("name"), *(F.lit(None).cast("string").alias(c) for c in ("aliases", "program", "dob", "nationality", "national_id")))
+    return k.select(F.col("uid").alias("subject_id"), "name", "dob", "nationality", "national_id"), k
+
+
+def test_candidates_of_a_name_that_many_bear_are_not_paired(spark):
+    """2.5 billion pairs."""
+    subs, refs = _many_of_one_name(spark, 50_000)
+    cfg = Screening()
+    got = sc.candidate_counts(sc.subjects(subs, cfg), sc.references(refs, cfg), cfg)
+    assert [tuple(x) for x in got.groupBy("candidates").count().collect()] == [(50_000, 50_000)]
+
+
 @pytest.mark.parametrize(("size", "cut", "kept"), [(2, True, ["U0", "U1"]), (3, False, ["U0", "U1", "U2"]), (4, False, ["U0", "U1", "U2"])])
 def test_shortlists_are_taken_once_a_name(spark, size, cut, kept):
     """Ties go to the smaller uid, and all who bear a name get its shortlist."""
