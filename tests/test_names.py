@@ -159,6 +159,15 @@ def test_candidates_of_a_name_that_many_bear_are_not_paired(spark):
     assert [tuple(x) for x in got.groupBy("candidates").count().collect()] == [(50_000, 50_000)]
 
 
+def test_stats_of_a_name_that_many_bear(spark):
+    """2.5 billion pairs; one subject meets nothing."""
+    subs, refs = _many_of_one_name(spark, 50_000)
+    lone = spark.createDataFrame([("L", "Wei Zhang", None, None, None)], SUBS)
+    r = sc.blocking_stats(subs.unionByName(lone), refs).first()
+    assert (r["queries"], r["references"], r["candidate_pairs"], r["max_candidates"], r["p95_candidates"]) == (50_001, 50_000, 2_500_000_000, 50_000, 50_000)
+    assert r["mean_candidates"] == 2_500_000_000 / 50_001 and r["reduction"] == pytest.approx(1 / 50_001)
+
+
 @pytest.mark.parametrize(("size", "cut", "kept"), [(2, True, ["U0", "U1"]), (3, False, ["U0", "U1", "U2"]), (4, False, ["U0", "U1", "U2"])])
 def test_shortlists_are_taken_once_a_name(spark, size, cut, kept):
     """Ties go to the smaller uid, and all who bear a name get its shortlist."""
