@@ -1,8 +1,10 @@
 """Near copies: documents whose sets of word shingles have a Jaccard similarity of 0.8 or more.
 
-Candidates meet in lists keyed by bands of minima; every candidate is verified on the exact sets, so
-nothing below 0.8 is linked. A pair at 0.8 fails to meet with a probability of 5e-8 (1 - 0.8^4 in
-each of 32 bands), a closer one with less.
+Given the SimHash operator's ``links``, texts whose fingerprints it links come first: they are verified on
+the exact sets and joined into components. Most pairs near 0.8 differ in more bits than it reaches. Those
+meet in lists keyed by bands of minima, of which only pairs that the fingerprints left apart are verified,
+on the exact sets too, so nothing below 0.8 is linked. A pair at 0.8 fails to meet in a band with a
+probability of 5e-8 (1 - 0.8^4 in each of 32 bands), a closer one with less.
 
 Texts of equal words are merged first. A list of at most ``list_limit`` members posts all its pairs.
 A longer one first posts a star and a chain, as many pairs as members. Once those are verified and
@@ -16,6 +18,7 @@ picked by a bloom filter of fixed size; the join drops what it lets through by c
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from itertools import combinations
 
 import numpy as np
@@ -27,6 +30,7 @@ from pyspark.sql import types as T
 from sablefin.llm import jaccard_kernel as kernel
 from sablefin.llm.common import spread
 from sablefin.llm.components import components
+from sablefin.llm.simhash_kernel import majority, shingle_hashes
 from sablefin.session import settle
 
 LIST_LIMIT = 16
@@ -41,14 +45,18 @@ def _marked(docs: DataFrame, doc_id: str, text: str, width: int, seed: int) -> D
     def run(batches):
         for b in batches:
             texts = b.column("_text").to_pylist()
-            sets = [kernel.shingle_set(t, width, seed) for t in texts]
+            fps, sets = [], []
+            for t in texts:
+                hashes = shingle_hashes(t or b"", width, seed)
+                fps.append(majority(hashes))
+                sets.append(np.unique(hashes))
             made = [
                 pa.array([kernel.identity(t, seed) for t in texts], pa.int64()), pa.array(map(len, sets), pa.int64()),
-                pa.array(map(kernel.bands, sets), pa.list_(pa.int64())),
+                pa.array(np.array(fps, np.uint64).view(np.int64)), pa.array(map(kernel.bands, sets), pa.list_(pa.int64())),
             ]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), *made], names=["doc_id", "w", "n", "bands"])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), *made], names=["doc_id", "w", "n", "fp", "bands"])
 
-    schema = src.select("doc_id").schema.add("w", "long").add("n", "long").add("bands", T.ArrayType(T.LongType()))
+    schema = src.select("doc_id").schema.add("w", "long").add("n", "long").add("fp", "long").add("bands", T.ArrayType(T.LongType()))
     return src.mapInArrow(run, schema)
 
 
@@ -89,6 +97,23 @@ def _first_pairs(postings: DataFrame, parts: int, limit: int) -> DataFrame:
     return postings.repartition(parts, "key").sortWithinPartitions("key", "w").mapInArrow(run, "a long, b long").distinct()
 
 
+def _print_pairs(reps: DataFrame, links: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Pairs of texts whose fingerprints are equal or linked by ``links``: a star for each fingerprint, a pair for each
+    edge between two."""
+    least = settle(reps.groupBy("fp").agg(F.min("w").alias("m")), "print-texts")
+    same = reps.select("fp", "w").join(least.hint("merge"), "fp").where("w <> m").select(F.col("m").alias("a"), F.col("w").alias("b"))
+    left, right = (least.select(F.col("fp").alias(c), F.col("m").alias(f"_{c}")) for c in "ab")
+    near = links(least.select("fp")).join(left.hint("merge"), "a").join(right.hint("merge"), "b")
+    return same.union(near.select(F.least("_a", "_b").alias("a"), F.greatest("_a", "_b").alias("b")).distinct())
+
+
+def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Those of ``pairs`` whose ends ``labels``(w, label) doesn't join."""
+    x, y = (labels.select(F.col("w").alias(c), F.col("label").alias(f"_{c}")) for c in "ab")
+    both = pairs.join(x.hint("merge"), "a", "left").join(y.hint("merge"), "b", "left")
+    return both.where(F.coalesce("_a", "a") != F.coalesce("_b", "b")).select("a", "b")
+
+
 def _rest_edges(members: DataFrame, sets: DataFrame, parts: int, block: int) -> DataFrame:
     """Links between unlike labels of each list of ``members``(key, w, label)."""
     sizes = members.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.min("label").alias("l"), F.max("label").alias("h"))
@@ -170,25 +195,35 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.mapInArrow(run, "a long, b long")
 
 
-def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 5, seed: int = 42, list_limit: int = LIST_LIMIT, block: int = BLOCK) -> DataFrame:
+def near_copies(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 5, seed: int = 42, list_limit: int = LIST_LIMIT, block: int = BLOCK,
+    links: Callable[[DataFrame], DataFrame] | None = None,
+) -> DataFrame:
     """One row per row of ``docs``: ``doc_id`` and ``component_id``, the smallest doc_id reachable
     over pairs whose shingle sets have a Jaccard similarity of 0.8 or more.
 
     Words and shingles are those of the SimHash operator. Texts without words are copies of each
-    other. Rows with a null doc_id take part.
+    other. Rows with a null doc_id take part. ``links``: edges (a, b) between near ones of distinct
+    fingerprints (fp), tried before the bands.
     """
     spark = docs.sparkSession
     marked = settle(_marked(docs, doc_id, text, width, seed), "shingle-bands")
-    reps = marked.groupBy("w").agg(F.min("doc_id").alias("_low"), *(F.first(c).alias(c) for c in ("n", "bands")))
+    reps = marked.groupBy("w").agg(F.min("doc_id").alias("_low"), *(F.first(c).alias(c) for c in ("n", "fp", "bands")))
     reps = settle(reps, "distinct-texts")
     postings = reps.select(F.explode("bands").alias("key"), "w", "n")
     parts = spread(spark, kernel.BANDS * reps.count(), 2_000_000)
     pairs = settle(_first_pairs(postings, parts, list_limit), "near-pairs")
     hot = settle(postings.groupBy("key").count().where(F.col("count") > list_limit).select("key"), "hot-bands")
     members = settle(postings.join(hot.hint("merge"), "key").select("key", "w"), "hot-members")
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("w")).union(members.select("w")).distinct()
+    prints = pairs.limit(0) if links is None else settle(_print_pairs(reps, links), "print-pairs")
+    ids = pairs.union(prints).select(F.explode(F.array("a", "b")).alias("w")).union(members.select("w")).distinct()
     sets = _sets(docs, settle(ids, "candidates"), text, width, seed)
-    edges = settle(_verified(pairs, sets), "near-edges")
+    if links is None:
+        edges = settle(_verified(pairs, sets), "near-edges")
+    else:
+        linked = settle(_verified(prints, sets), "print-edges")
+        known = settle(components(linked).select(F.col("node").alias("w"), "label"), "print-labels")
+        edges = linked.union(settle(_verified(_apart(pairs, known), sets), "near-edges"))
     labels = settle(components(edges).select(F.col("node").alias("w"), "label"), "near-labels")
     if not hot.isEmpty():
         marked_members = members.join(labels.hint("merge"), "w", "left").select("key", "w", F.coalesce("label", "w").alias("label"))

@@ -211,12 +211,13 @@ def simhash_components(
 def dedup(docs: DataFrame, width: int = 5) -> DataFrame:
     """``docs``, same columns, without near-copies: of each component the row with the smallest doc_id.
 
-    Near-copies have a Jaccard similarity of 0.8 or more over shingles of ``width`` words. Such pairs
-    differ in more fingerprint bits than the index here reaches, so ``jaccard`` finds them.
+    Near-copies have a Jaccard similarity of 0.8 or more over shingles of ``width`` words. The index here
+    gives the texts whose fingerprints link; an exact check of their similarity follows. Near-copies that
+    differ in more bits than the index reaches are added by ``jaccard``.
     Rows without a doc_id have no identity to group by and all stay. Of several rows with the keeping
     doc_id one stays, the last in the order of its comparable columns.
     """
-    comp = settle(near_copies(docs.select("doc_id", "text"), width=width), "dedup-components")
+    comp = settle(near_copies(docs.select("doc_id", "text"), width=width, links=links), "dedup-components")
     kept = comp.where("doc_id = component_id").groupBy("doc_id").count()
     kept = settle(kept, "dedup-kept")
     # ids grow with the corpus: merged at every size, never broadcast

@@ -152,3 +152,38 @@ def test_near_copies_match_brute_force_at_similarity(docs_of, limit):
     assert far > 20  # more than the fingerprint's four bits reach
     assert got == {rows[i][0]: rows[find(i)][0] for i in range(len(rows))}
     assert sorted(r["doc_id"] for r in simhash.dedup(docs_of(rows)).collect()) == sorted({rows[find(i)][0] for i in range(len(rows))})
+
+
+def test_dedup_takes_fingerprint_links_first(docs_of, monkeypatch):
+    """The index gets every distinct fingerprint; what it links is verified first, the bands get what that leaves apart."""
+    rows = edited_copies(3)
+    texts = {t: kernel.fingerprint(t.encode(), 5, 42) for _, t, _, _ in rows}
+    seen, checked, index, verify = [], [], simhash.links, jaccard._verified
+
+    def spy_links(fps, *a, **b):
+        seen.extend(r["fp"] & (1 << 64) - 1 for r in fps.collect())
+        return index(fps, *a, **b)
+
+    def spy_verified(pairs, sets):
+        checked.append((pairs.collect(), verify(pairs, sets).collect()))
+        return verify(pairs, sets)
+
+    monkeypatch.setattr(simhash, "links", spy_links)
+    monkeypatch.setattr(jaccard, "_verified", spy_verified)
+    simhash.dedup(docs_of(rows)).count()
+    assert sorted(seen) == sorted(set(texts.values()))
+    by = {jaccard.kernel.identity(t.encode(), 42): f for t, f in texts.items()}
+    (first, linked), (rest, more) = checked
+    near = [(a, b) for a in by for b in by if a < b and (by[a] ^ by[b]).bit_count() <= 4]
+    assert near and linked and more
+    assert brute_components([(w,) for w in by], list(by.values())) == _joined(list(by), first)
+    low = dict(zip(by, _joined(list(by), linked), strict=True))
+    assert all(low[a] != low[b] for a, b in rest)
+
+
+def _joined(nodes, pairs):
+    low = {w: w for w in nodes}
+    for _ in nodes:
+        for a, b in pairs:
+            low[a] = low[b] = min(low[a], low[b])
+    return [low[w] for w in nodes]
