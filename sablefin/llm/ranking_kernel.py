@@ -64,9 +64,74 @@ def scale(x: np.ndarray, mean: np.ndarray, spread: np.ndarray) -> np.ndarray:
     return np.clip((x - mean) / spread, -6, 6)
 
 
+def moments(x: np.ndarray) -> tuple[int, np.ndarray, np.ndarray]:
+    """Rows, means and sums of squared differences from them."""
+    mean = x.mean(0)
+    return len(x), mean, ((x - mean) ** 2).sum(0)
+
+
+def joined(a: tuple, b: tuple) -> tuple[int, np.ndarray, np.ndarray]:
+    """The ``moments`` of both."""
+    n, gap = a[0] + b[0], b[1] - a[1]
+    return n, a[1] + gap * (b[0] / n), a[2] + b[2] + gap**2 * (a[0] * b[0] / n)
+
+
+def cell_width(w: np.ndarray) -> float:
+    """Width of score cells: a 64th, or more where scores can be so far apart that they would take over 4,096 cells."""
+    return max(1 / 64, 12 * float(np.abs(w).sum()) / 4096)
+
+
+def cell_sums(x: np.ndarray, y: np.ndarray, w: np.ndarray, width: float) -> dict[int, np.ndarray]:
+    """For each cell of scores x . w and label y (key: twice the cell plus y): rows, sum of x, sum of x x'."""
+    key = np.floor((x @ w) / width).astype(np.int64) * 2 + y
+    order = np.argsort(key, kind="stable")
+    x, key = x[order], key[order]
+    ends = [*(np.flatnonzero(key[1:] != key[:-1]) + 1).tolist(), len(key)]
+    upper = np.triu_indices(x.shape[1])
+    out, at = {}, 0
+    for end in ends:
+        part = x[at:end]
+        out[int(key[at])] = np.concatenate([[end - at], part.sum(0), (part.T @ part)[upper]])
+        at = end
+    return out
+
+
+def newton_step(sums: dict[int, np.ndarray], w: np.ndarray, ridge: float = 1e-3) -> np.ndarray:
+    """What Newton's method takes off Bradley-Terry weights ``w``, over every pair of a good and a bad row.
+
+    P(good beats bad) = sigmoid(w . (good - bad)). Rows enter by their ``cell_sums``; in a cell a pair's chance runs
+    with the score to the second order, so the gradient is off by the third power of the cell's width.
+    """
+    k = len(w)
+    upper = np.triu_indices(k)
+
+    def side(label: int):
+        v = np.array([sums[c] for c in sorted(sums) if c % 2 == label])
+        square = np.zeros((len(v), k, k))
+        square[:, upper[0], upper[1]] = square[:, upper[1], upper[0]] = v[:, 1 + k :]
+        n, x = v[:, 0], v[:, 1 : 1 + k]
+        along = square @ w  # sum of score times x
+        s = x @ w / n
+        return n, x, square, s, along - s[:, None] * x, np.maximum(along @ w / n - s**2, 0)
+
+    n, x, xx, s, dx, var = side(1)
+    m, y, yy, t, dy, war = side(0)
+    p = 1 / (1 + np.exp(np.clip(s[:, None] - t, -30, 30)))  # chance that the pair is ranked wrongly
+    q = p * (1 - p)
+    bend = q * (1 - 2 * p) / 2
+    good = (p + bend * war) @ m + (bend @ m) * var
+    bad = n @ (p + bend * var[:, None]) + (n @ bend) * war
+    up, down = q @ m, n @ q
+    pairs = n.sum() * m.sum()
+    grad = (bad @ y + down @ dy - good @ x + up @ dx) / pairs + ridge * w
+    cross = x.T @ q @ y
+    hess = (np.tensordot(up, xx, 1) + np.tensordot(down, yy, 1) - cross - cross.T) / pairs + ridge * np.eye(k)
+    return np.linalg.solve(hess, grad)
+
+
 def fit_pairs(x: np.ndarray, y: np.ndarray, pairs: int, seed: int, ridge: float = 1e-3, steps: int = 25) -> np.ndarray:
-    """Bradley-Terry weights: P(good beats bad) = sigmoid(w . (good - bad)), by Newton's method over
-    ``pairs`` preference pairs drawn from the labelled rows."""
+    """Bradley-Terry weights of a small table by Newton's method over ``pairs`` drawn preference pairs: a plain
+    counterpart of ``newton_step``, not used by the operator."""
     rng = np.random.default_rng(seed)
     good, bad = np.flatnonzero(y == 1), np.flatnonzero(y == 0)
     w = np.zeros(x.shape[1])
@@ -85,8 +150,8 @@ def fit_pairs(x: np.ndarray, y: np.ndarray, pairs: int, seed: int, ridge: float
 
 
 def cut(scores: np.ndarray, y: np.ndarray, grid: int = 200) -> float:
-    """The score quantile, of ``grid`` ones, at which accepting what lies at or above it is right
-    most often in the mean of both labels."""
+    """The score quantile of a small table, of ``grid`` ones, at which accepting what lies at or above it is right
+    most often in the mean of both labels: a plain counterpart of the operator's, which takes it over all rows."""
     if not len(scores) or len(set(y.tolist())) < 2:
         return float(scores.min(initial=0.0))
     best = (-1.0, 0.0)

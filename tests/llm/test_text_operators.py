@@ -284,3 +284,46 @@ def test_bradley_terry_orders_pairs(good):
     assert np.sign(w[0]) == np.sign(2 * good - 1)
     at = ranking_kernel.cut(x @ w, y)
     assert ((x @ w >= at) == y).mean() > 0.9
+
+
+def test_all_labelled_rows_and_pairs_are_learned_from(spark):
+    """Weights are those of Newton's method over every pair; the threshold is a quantile of all rows' scores."""
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    n, k = 700, len(ranking_kernel.FEATURES)
+    y = (rng.random(n) < 0.3).astype(int)
+    x = rng.normal(size=(n, k)) * 3 + 1
+    x[:, :3] += y[:, None] * [2, -1, 1]
+    z = ranking_kernel.scale(x, x.mean(0), x.std(0))
+    d = (z[y == 1][:, None] - z[y == 0][None]).reshape(-1, k)
+    w = np.zeros(k)
+    for _ in range(12):
+        p = 1 / (1 + np.exp(d @ w))
+        w -= np.linalg.solve((d * (p * (1 - p))[:, None]).T @ d / len(d) + 1e-3 * np.eye(k), 1e-3 * w - (d * p[:, None]).mean(0))
+    learned = spark.createDataFrame([(int(b), a.tolist()) for a, b in zip(x, y, strict=True)], "_y long, _x array<double>").repartition(5)
+    rows, mean, squares = ranking._moments(learned)
+    assert rows == n and np.allclose(mean, x.mean(0)) and np.allclose(np.sqrt(squares / rows), x.std(0))
+    assert np.abs(ranking.fitted(learned, x.mean(0), x.std(0)) - w).max() < 1e-4
+    s = np.round(z @ w, 1)  # ties
+    low = {float(np.sort(s)[i * n // 200]) for i in range(200)}
+    right = {q: ((s >= q)[y == 1].mean() + (s < q)[y == 0].mean()) / 2 for q in low}
+    got = ranking.cut(spark.createDataFrame([(float(a), int(b)) for a, b in zip(s, y, strict=True)], "s double, _y long"))
+    assert got in low and right[got] == pytest.approx(max(right.values()), abs=1e-12)
+
+
+def test_labels_beyond_twenty_thousand_count(spark, monkeypatch):
+    """All of 30,000 labelled rows are fitted on, and all have a say in the threshold."""
+    seen = []
+    plain = {f: getattr(ranking, f) for f in ("fitted", "cut")}
+    for f, run in plain.items():
+        monkeypatch.setattr(ranking, f, lambda t, *a, run=run: (seen.append(t.count()), run(t, *a))[1])
+    n, k = 30_000, len(ranking_kernel.FEATURES)
+    y = F.when(F.col("doc_id") < 29_000, 1).otherwise(0)
+    made = lambda docs, keep, text: docs.select(*keep, F.array(y + F.rand(1), *(F.rand(2 + j) for j in range(k - 1))).alias("_x"))
+    monkeypatch.setattr(ranking, "with_features", made)
+    docs = spark.range(n).select(F.col("id").alias("doc_id"), F.lit("x").alias("text"))
+    out = ranking.score(docs, docs.select("doc_id", y.alias("quality"))).toPandas()
+    learned = int((~out["held_out"]).sum())
+    assert learned > 20_000 and seen == [learned, learned]
+    assert (out["predicted"] == (out["doc_id"] < 29_000)).mean() > 0.99
