@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from sablefin.llm import mixing, packing, pii, quality, ranking, secrets, simhash, tokens, topk, url_lists
+from sablefin.llm import codes, licenses, mixing, packing, pii, quality, ranking, secrets, simhash, tokens, topk, url_lists
 
 QUERIES = {
     "op1_mix": mixing.op1_mix,
@@ -15,6 +15,8 @@ QUERIES = {
     "op8_ranking": ranking.op8_ranking,
     "op9_simhash": simhash.op9_simhash,
     "op10_topk": topk.op10_topk,
+    "op11_licenses": licenses.op11_licenses,
+    "op12_codes": codes.op12_codes,
 }
 #: The others are checked by brute force in tests/llm.
 ORACLE_SQL = {
@@ -22,4 +24,5 @@ ORACLE_SQL = {
     "op3_quality": quality.ORACLE,
     "op4_url_lists": url_lists.ORACLE,
     "op10_topk": topk.ORACLE,
+    "op12_codes": codes.ORACLE,
 }
