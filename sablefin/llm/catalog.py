@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from sablefin.llm import codes, licenses, mixing, packing, pii, quality, ranking, secrets, simhash, tokens, topk, url_lists
+from sablefin.llm import codes, licenses, mixing, packing, pii, quality, ranking, secrets, simhash, tokens, topk, trie, url_lists
 
 QUERIES = {
     "op1_mix": mixing.op1_mix,
@@ -17,6 +17,7 @@ QUERIES = {
     "op10_topk": topk.op10_topk,
     "op11_licenses": licenses.op11_licenses,
     "op12_codes": codes.op12_codes,
+    "op13_trie": trie.op13_trie,
 }
 #: The others are checked by brute force in tests/llm.
 ORACLE_SQL = {
@@ -25,4 +26,5 @@ ORACLE_SQL = {
     "op4_url_lists": url_lists.ORACLE,
     "op10_topk": topk.ORACLE,
     "op12_codes": codes.ORACLE,
+    "op13_trie": trie.ORACLE,
 }
