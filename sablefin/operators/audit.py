@@ -1,8 +1,9 @@
 """Tamper-evident audit chain, manifests, and stable sinks.
 
-A chain is sequential by definition. Building it is linear in alerts, not in transactions: records stream to
-the driver in order, a partition at a time, and only the last hash is carried. Verifying is parallel: each row
-recomputes its own content hash and compares its previous hash with the row before.
+A chain is sequential by definition, but little of it needs to be. Numbering, canonical texts and writing are parallel;
+what is left, one hash a record, runs on executors a segment at a time, and only the last hash of a segment is handed
+on to the next. Verifying is parallel: each row recomputes its own content hash and compares its previous hash with the
+row before.
 """
 
 from __future__ import annotations
@@ -10,16 +11,23 @@ from __future__ import annotations
 import hashlib
 import json
 import math
+import re
 from collections.abc import Iterable, Iterator
 from pathlib import Path
 from typing import Any
+from urllib.parse import unquote
 
 import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window
 
+from sablefin.operators.ordering import numbered
+from sablefin.session import settled_path, ship
+
+#: Records that one task links, and lines of a file.
+SEGMENT = 250_000
 GENESIS = "0" * 64
 FIELDS = ("sequence", "event_type", "rule_version", "subject_id", "occurred_at", "decision", "input_snapshot", "scoring_breakdown", "previous_hash")
 SCHEMA = (
@@ -65,14 +73,71 @@ def chain(events: Iterable[dict[str, Any]], start: int = 0, previous: str = GENE
         yield r
 
 
-def build(alerts: DataFrame, order: list[str], version: str, kind: str, start: int = 0, previous: str = GENESIS) -> Iterator[dict[str, Any]]:
-    """Chain ``alerts``(subject_id, occurred_at, decision, snapshot, breakdown: JSON text) in ``order``."""
-    rows = alerts.orderBy(*order).toLocalIterator()
-    events = (
-        {"event_type": kind, "rule_version": version, "subject_id": r["subject_id"], "occurred_at": r["occurred_at"], "decision": r["decision"], "input_snapshot": json.loads(r["snapshot"]), "scoring_breakdown": json.loads(r["breakdown"])}
-        for r in rows
-    )
-    return chain(events, start, previous)
+def _halves(r: dict[str, Any]) -> tuple[str, str]:
+    """What stands before and after the previous hash in the canonical text of a record: keys are sorted, so it splits there."""
+    before, after = {}, {}
+    for k in FIELDS:
+        if k != "previous_hash":
+            (before if k < "previous_hash" else after)[k] = json.loads(r[k]) if k in ("input_snapshot", "scoring_breakdown") else r[k]
+    return canonical(before)[:-1] + ',"previous_hash":"', '",' + canonical(after)[1:]
+
+
+_PREPARED = "sequence bigint, event_type string, rule_version string, subject_id string, occurred_at string, decision string, input_snapshot string, scoring_breakdown string, _head string, _tail string"
+
+
+def build(alerts: DataFrame, order: list[str], version: str, kind: str, start: int = 0, previous: str = GENESIS, segment: int = SEGMENT) -> DataFrame:
+    """``alerts``(subject_id, occurred_at, decision, snapshot, breakdown: JSON text) as chained records (SCHEMA), in ``order``, which is total.
+
+    They continue a chain of ``start`` records whose last hash is ``previous``. No record goes through the driver: it sees the number of
+    segments and one hash for each. Null snapshots and breakdowns are empty objects.
+    """
+    spark = alerts.sparkSession
+    ship(spark)
+    cols = [c.split()[0] for c in _PREPARED.split(", ")]
+
+    def prepare(batches):
+        for b in batches:
+            out: dict[str, list] = {c: [] for c in cols}
+            for r in b.to_pylist():
+                r = {**r, "event_type": kind, "rule_version": version}
+                for k, raw in (("input_snapshot", "snapshot"), ("scoring_breakdown", "breakdown")):
+                    r[k] = canonical(json.loads(r[raw] or "{}") or {})
+                r["_head"], r["_tail"] = _halves(r)
+                for c in cols:
+                    out[c].append(r[c])
+            yield pa.RecordBatch.from_arrays([pa.array(out[c], pa.int64() if c == "sequence" else pa.string()) for c in cols], names=cols)
+
+    rows = numbered(alerts, list(order), "sequence", start).select("sequence", *(F.col(c).cast("string").alias(c) for c in ("subject_id", "occurred_at", "decision", "snapshot", "breakdown")))
+    place = F.floor((F.col("sequence") - start) / segment).cast("int")
+    source, target = (settled_path(spark, f"audit-{n}") for n in ("prepared", "records"))
+    rows.mapInArrow(prepare, _PREPARED).withColumn("_segment", place).write.partitionBy("_segment").parquet(source, compression="zstd")
+    last = spark.read.schema(_PREPARED + ", _segment int").parquet(source).agg(F.max("_segment")).first()[0]
+    names = [c.split()[0] for c in SCHEMA.split(", ")]
+    if last is None:
+        return spark.createDataFrame([], SCHEMA)
+    for k in range(last + 1):
+
+        def link(batches, previous=previous):
+            for b in batches:
+                before, own = [], []
+                for head, tail in zip(b.column("_head").to_pylist(), b.column("_tail").to_pylist(), strict=True):
+                    before.append(previous)
+                    previous = hashlib.sha256((head + previous + tail).encode()).hexdigest()
+                    own.append(previous)
+                made = {"previous_hash": pa.array(before, pa.string()), "content_hash": pa.array(own, pa.string())}
+                yield pa.RecordBatch.from_arrays([made[c] if c in made else b.column(c) for c in names], names=names)
+
+        some = spark.read.schema(_PREPARED).parquet(f"{source}/_segment={k}")
+        # one task links a segment, of bounded size; its rows are slim and the sort spills
+        some.repartition(1).sortWithinPartitions("sequence").mapInArrow(link, SCHEMA).write.parquet(f"{target}/{k:09d}", compression="zstd")
+        previous = spark.read.schema(SCHEMA).parquet(f"{target}/{k:09d}").agg(F.max_by("content_hash", "sequence")).first()[0]
+    return spark.read.schema(SCHEMA).option("recursiveFileLookup", "true").parquet(target)
+
+
+def end(records: DataFrame) -> tuple[int, str]:
+    """(records, last hash): where the next chain goes on."""
+    n, last = records.agg(F.max("sequence") + 1, F.max_by("content_hash", "sequence")).first()
+    return n or 0, last or GENESIS
 
 
 @F.pandas_udf(T.StringType())
@@ -113,13 +178,36 @@ def summary(records: DataFrame) -> DataFrame:
     return records.groupBy("event_type", "decision").agg(F.count(F.lit(1)).alias("records"))
 
 
-def write_jsonl(records: Iterable[dict[str, Any]], path: Path) -> int:
-    n = 0
-    with path.open("w", encoding="utf-8", newline="\n") as f:
-        for r in records:
-            f.write(canonical(r) + "\n")
-            n += 1
-    return n
+def write_jsonl(records: DataFrame, folder: str, lines: int = SEGMENT) -> int:
+    """Canonical JSON lines, sorted by sequence, in files of ``lines`` records named by their place; executors write them.
+
+    Equal records give equal names and bytes. Returns the number of records.
+    """
+    spark = records.sparkSession
+    ship(spark)
+
+    def text(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([b.column("_file"), pa.array([canonical({k: v for k, v in r.items() if k != "_file"}) for r in b.to_pylist()], pa.string())], names=["_file", "value"])
+
+    placed = records.withColumn("_file", F.format_string("%09d", F.floor(F.col("sequence") / lines).cast("long")))
+    dealt = placed.repartition("_file").sortWithinPartitions("_file", "sequence")
+    dealt.mapInArrow(text, "_file string, value string").write.partitionBy("_file").text(folder)
+    _flatten(spark, folder, "_file=", ".jsonl")
+    return spark.read.text(folder).count()
+
+
+def _flatten(spark: SparkSession, folder: str, prefix: str, suffix: str) -> None:
+    """Move each partition's one file up, named by the partition. File names only; their content isn't touched."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    for sub in fs.listStatus(path(folder)):
+        if sub.isDirectory() and sub.getPath().getName().startswith(prefix):
+            name = sub.getPath().getName()[len(prefix) :]
+            own = [f.getPath() for f in fs.listStatus(sub.getPath()) if not f.getPath().getName().startswith((".", "_"))]
+            if len(own) != 1 or not fs.rename(own[0], path(f"{folder}/{name}{suffix}")):
+                raise OSError(f"{len(own)} files in {sub.getPath()}")
+            fs.delete(sub.getPath(), True)
 
 
 def read_jsonl(spark, path: str) -> DataFrame:
@@ -153,9 +241,12 @@ def sha256_file(path: Path) -> str:
 
 
 def manifest(folder: Path, volatile: tuple[str, ...] = ()) -> dict[str, str]:
-    """name -> sha256 of every file below ``folder`` that isn't ``volatile``."""
-    files = sorted(p for p in folder.rglob("*") if p.is_file() and p.name not in volatile)
-    return {str(p.relative_to(folder)): sha256_file(p) for p in files}
+    """name -> sha256 of every file below ``folder`` that isn't ``volatile``; for a few small files of this machine.
+
+    Hidden files and marks of Spark's writers don't count, as in ``manifest_of``.
+    """
+    seen = lambda p: p.is_file() and p.name not in volatile and not p.name.startswith((".", "_"))
+    return {str(p.relative_to(folder)): sha256_file(p) for p in sorted(folder.rglob("*")) if seen(p)}
 
 
 def diff_manifests(a: dict[str, str], b: dict[str, str]) -> dict[str, list[str]]:
@@ -163,6 +254,28 @@ def diff_manifests(a: dict[str, str], b: dict[str, str]) -> dict[str, list[str]]
     return {"only_left": sorted(a.keys() - b.keys()), "only_right": sorted(b.keys() - a.keys()), "differ": sorted(k for k in both if a[k] != b[k])}
 
 
-def previous_by_window(records: DataFrame) -> DataFrame:
-    """(sequence, previous_hash, content_hash, expected): the lag form, for chains that fit a task."""
-    return records.select("sequence", "previous_hash", "content_hash", F.coalesce(F.lag("content_hash").over(Window.orderBy("sequence")), F.lit(GENESIS)).alias("expected"))
+def manifest_of(spark: SparkSession, folder: str, volatile: tuple[str, ...] = ()) -> DataFrame:
+    """(name, bytes, sha256) of every file below ``folder``, of any file system Spark reads, hashed by executors, a file a row.
+
+    ``name`` is relative to the folder. Files named in ``volatile``, hidden ones and marks of Spark's writers are left out; a file is
+    read whole by its task and can't exceed 2 GB. No files give no rows.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    root = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString().rstrip("/")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+    # paths differ in the slashes after their scheme; from there on they begin with the folder's own path
+    skip = len(re.sub("^[^:/]*:/*", "", root)) + 1
+    inside = lambda p: F.substring(F.regexp_replace(p, "^[^:/]*:/*", ""), skip + 1, 1 << 30)
+    hashed = files.select(inside(F.col("path")).alias("name"), F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
+    # the scan leaves empty files out; their names are known from the listing
+    listed = spark.createDataFrame([(unquote(p),) for p in files.inputFiles()], "path string").select(inside(F.col("path")).alias("name"))
+    got = listed.join(hashed, "name", "left").select("name", F.coalesce("bytes", F.lit(0)).alias("bytes"), F.coalesce("sha256", F.lit(hashlib.sha256(b"").hexdigest())).alias("sha256"))
+    return got.where(~F.element_at(F.split("name", "/"), -1).isin(*volatile)) if volatile else got
+
+
+def compare_manifests(a: DataFrame, b: DataFrame) -> DataFrame:
+    """(name, state, left_sha256, right_sha256): 'only_left', 'only_right' or 'differs' of two manifests; files that agree are left out."""
+    left, right = a.select("name", F.col("sha256").alias("left_sha256")), b.select("name", F.col("sha256").alias("right_sha256"))
+    both = left.join(right, "name", "full_outer")
+    state = F.when(F.col("right_sha256").isNull(), "only_left").when(F.col("left_sha256").isNull(), "only_right").when(F.col("left_sha256") != F.col("right_sha256"), "differs")
+    return both.select("name", state.alias("state"), "left_sha256", "right_sha256").where("state is not null")

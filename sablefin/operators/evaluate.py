@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from sablefin.operators.ordering import kth, upto
 from sablefin.session import settle
 
 SLICES = 64
@@ -70,27 +71,25 @@ def _point(rows: DataFrame, positives: int) -> DataFrame:
 def at_recall(df: DataFrame, target: float, tie: list[str], score: str = "score", y: str = "y") -> DataFrame:
     """Shortest prefix of the ranking (score descending, then ``tie``) that reaches ``target`` recall.
 
-    The row that reaches it is the ceil(target P)-th positive in order; all rows at or before it count.
+    The row that reaches it is the ceil(target P)-th positive in order; all rows at or before it count. That row is
+    found by histograms, so no task sorts more than a bounded remainder. Rows equal in score and ``tie`` go together.
     """
-    d = df.select(F.col(score).alias("score"), F.col(y).cast("boolean").alias("y"), *tie)
+    d = settle(df.select(F.col(score).alias("score"), F.col(y).cast("boolean").alias("y"), *tie), "ranking")
     pos = d.where("y").count()
     if pos == 0:
         raise ValueError("no positives")
     need = next((k for k in range(max(1, int(target * pos) - 1), pos + 1) if k / pos >= target), pos)
-    last = d.where("y").orderBy(F.desc("score"), *tie).offset(need - 1).limit(1).first()
-    edge = F.col("score") > last["score"]
-    same = F.col("score") == last["score"]
-    for c in tie:
-        edge = edge | (same & (F.col(c) < last[c]))
-        same = same & (F.col(c) == last[c])
-    return _point(d.where(edge | same), pos)
+    order = [("score", True), *((c, False) for c in tie)]
+    return _point(d.where(upto(order, kth(d.where("y"), order, need))), pos)
 
 
 def at_budget(df: DataFrame, share: float, tie: list[str], score: str = "score", y: str = "y") -> DataFrame:
-    """The top max(1, round-half-even(share n)) rows."""
-    d = df.select(F.col(score).alias("score"), F.col(y).cast("boolean").alias("y"), *tie)
+    """The top max(1, round-half-even(share n)) rows; ``tie`` is to make the order total. Cut like ``at_recall``."""
+    d = settle(df.select(F.col(score).alias("score"), F.col(y).cast("boolean").alias("y"), *tie), "ranking")
     n, pos = d.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.col("y").cast("long")), F.lit(0))).first()
-    return _point(d.orderBy(F.desc("score"), *tie).limit(max(1, round(share * n))), pos)
+    order = [("score", True), *((c, False) for c in tie)]
+    last = kth(d, order, max(1, round(share * n)))
+    return _point(d.where(upto(order, last)) if last else d, pos)
 
 
 def percentile_rank(df: DataFrame, column: str, by: list[str] | None = None) -> DataFrame:

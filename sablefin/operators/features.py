@@ -11,8 +11,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from sablefin.config import Monitoring
+from sablefin.operators.ordering import kth, upto
 from sablefin.operators.quantile import exact_quantiles
 from sablefin.operators.rules import money, period
+from sablefin.session import settle
 
 PEER = ("total_amount", "txn_count", "max_amount", "avg_amount", "cash_amount", "high_risk_amount", "distinct_counterparties")
 SHRUNK = (
@@ -164,16 +166,15 @@ def transform(df: DataFrame, medians: DataFrame, targets: DataFrame, segments: l
 def split_by_customer(df: DataFrame, share: float = Monitoring.test_share, seed: int = 7) -> DataFrame:
     """(customer_id, is_test): exactly ceil(share n) customers are test ones, chosen by a hash order.
 
-    Ranked over distinct customers with a distributed sort; one number, the cut, goes to the driver.
+    The cut, one row, is found by histograms over distinct customers; nothing is sorted but a bounded remainder.
     """
-    ids = df.select("customer_id").distinct().withColumn("_h", F.xxhash64("customer_id", F.lit(seed)))
+    ids = settle(df.select("customer_id").distinct().withColumn("_h", F.xxhash64("customer_id", F.lit(seed))), "customers-hashed")
     n = ids.count()
     k = -(-int(n * share * 1_000_000) // 1_000_000)
     if k == 0:
         return ids.select("customer_id", F.lit(False).alias("is_test"))
-    last = ids.orderBy("_h", "customer_id").offset(k - 1).limit(1).first()
-    edge = (F.col("_h") < last["_h"]) | ((F.col("_h") == last["_h"]) & (F.col("customer_id") <= last["customer_id"]))
-    return ids.select("customer_id", edge.alias("is_test"))
+    order = [("_h", False), ("customer_id", False)]
+    return ids.select("customer_id", upto(order, kth(ids, order, k)).alias("is_test"))
 
 
 def out_of_time(df: DataFrame, months: int = Monitoring.out_of_time_months) -> DataFrame:

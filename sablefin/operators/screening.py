@@ -10,7 +10,8 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
@@ -47,9 +48,9 @@ def block_keys(n: names.Name, cfg: Screening) -> list[str]:
     return sorted(out)
 
 
-def _as_row(raw: str | None, cfg: Screening) -> dict:
+def _as_row(raw: str | None, cfg: Screening, readings: dict[str, str] | None = None) -> dict:
     try:
-        n = names.normalize(raw, cfg)
+        n = names.normalize(raw, cfg, readings)
     except names.NameError_:
         n = names.EMPTY
     return {
@@ -59,14 +60,23 @@ def _as_row(raw: str | None, cfg: Screening) -> dict:
     }
 
 
+def _readings(spark: SparkSession) -> Broadcast:
+    """Readings of Han characters in every task: a table of fixed size, made once a context."""
+    sc = spark.sparkContext
+    if getattr(sc, "_sablefin_readings", None) is None:
+        sc._sablefin_readings = sc.broadcast(names.han_readings(spark))
+    return sc._sablefin_readings
+
+
 def normalized(name: Column, cfg: Screening) -> Column:
     """struct(NAME_TYPE) of a name; a name without a Latin form has no tokens."""
+    held = _readings(SparkSession.active())
 
     @F.pandas_udf(NAME_TYPE)
     def run(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         cols = [c.split()[0] for c in NAME_TYPE.split(", ")]
         for s in parts:
-            seen = {x: _as_row(x, cfg) for x in s.unique()}
+            seen = {x: _as_row(x, cfg, held.value) for x in s.unique()}
             yield pd.DataFrame([seen[x] for x in s], columns=cols)
 
     return run.asNondeterministic()(name)
@@ -220,7 +230,7 @@ def corroborated(df: DataFrame, cfg: Screening) -> DataFrame:
 
 ALERT = (
     "subject_id", "subject_name", "watchlist_uid", "watchlist_name", "program", "matched_on", "name_score", "corroboration_delta", "final_score", "decision",
-    "jaro_winkler", "token_set", "phonetic", "initials", "order_swapped",
+    "jaro_winkler", "token_set", "phonetic", "initials", "order_swapped", "corroboration",
 )
 
 
@@ -266,10 +276,21 @@ def blocking_stats(people: DataFrame, watchlist: DataFrame, cfg: Screening | Non
 
 
 def blocking_recall(truth: DataFrame, people: DataFrame, watchlist: DataFrame, cfg: Screening | None = None) -> DataFrame:
-    """One row: how many (subject_id, uid) of ``truth`` share a block."""
+    """One row: how many (subject_id, uid) of ``truth`` share a block.
+
+    Driven by the truth: only the keys of its own pairs meet, on (pair, key), so what is written grows with the truth and not with the
+    candidates. Which blocks are refined still follows from all references.
+    """
     cfg = cfg or Screening()
-    got = candidates(subjects(people, cfg), references(watchlist, cfg), cfg).select("subject_id", "uid").distinct()
-    d = truth.join(got.withColumn("hit", F.lit(1)), ["subject_id", "uid"], "left").agg(F.count(F.lit(1)).alias("truth"), F.count("hit").alias("found"))
+    pairs = settle(truth.select("subject_id", "uid"), "planted")
+    refs = settle(references(watchlist, cfg).select("uid", "pos", "n.keys", "n.refine"), "reference-keys")
+    refs = refs.select("uid", "pos", F.struct("keys", "refine").alias("n"))
+    big = settle(refined_keys(refs, cfg), "refined-keys")
+    subs = subjects(people.join(pairs.select("subject_id").distinct(), "subject_id", "left_semi"), cfg)
+    left = pairs.distinct().join(_keyed(subs, big, "subject_id").distinct(), "subject_id")
+    right = _keyed(refs.join(pairs.select("uid").distinct(), "uid", "left_semi"), big, "uid").distinct()
+    got = left.join(right, ["uid", "key"]).select("subject_id", "uid").distinct()
+    d = pairs.join(got.withColumn("hit", F.lit(1)), ["subject_id", "uid"], "left").agg(F.count(F.lit(1)).alias("truth"), F.count("hit").alias("found"))
     return d.withColumn("recall", F.coalesce(F.col("found") / F.nullif(F.col("truth"), F.lit(0)), F.lit(0.0)))
 
 

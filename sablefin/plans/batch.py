@@ -106,16 +106,16 @@ def run_batch(spark: SparkSession, out: Path, n_watch: int = 200, n_customers: i
         "subject_id", F.lit("2024-12-31T00:00:00Z").alias("occurred_at"), "decision", F.to_json(F.struct("watchlist_uid", "matched_on")).alias("snapshot"),
         F.to_json(F.struct("name_score", "corroboration_delta", "final_score")).alias("breakdown"), "watchlist_uid",
     )
-    first = list(audit.build(events, ["subject_id", "watchlist_uid"], "screening-v1", "SCREENING_ALERT"))  # linear in alerts
+    first = audit.build(events, ["subject_id", "watchlist_uid"], "screening-v1", "SCREENING_ALERT")
     month = F.concat(F.last_day(F.to_date(F.concat("period", F.lit("-01")))).cast("string"), F.lit("T00:00:00Z"))
     tm = found.select(
         F.col("customer_id").cast("string").alias("subject_id"), month.alias("occurred_at"), F.lit("REVIEW").alias("decision"), F.to_json(F.struct("rule_id", "period", "txn_count")).alias("snapshot"),
         F.to_json(F.struct("metric_value", "alert_amount")).alias("breakdown"), "customer_id", "period", "rule_id",
     )
-    last = first[-1]["content_hash"] if first else audit.GENESIS
-    rest = audit.build(tm, ["customer_id", "period", "rule_id"], "monitoring-v1", "TM_ALERT", len(first), last)
-    metrics["audit_records"] = audit.write_jsonl([*first, *rest], out / "audit.jsonl")
-    audit.verify(audit.read_jsonl(spark, str(out / "audit.jsonl")))
+    rest = audit.build(tm, ["customer_id", "period", "rule_id"], "monitoring-v1", "TM_ALERT", *audit.end(first))
+    trail = str((out / "audit").absolute())
+    metrics["audit_records"] = audit.write_jsonl(first.unionByName(rest), trail)
+    audit.verify(audit.read_jsonl(spark, trail))
     stage("audit", t)
 
     audit.write_json(metrics, out / "metrics.json")

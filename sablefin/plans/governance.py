@@ -9,7 +9,7 @@ from sablefin.operators import audit, data_quality as dq
 from sablefin.operators.screening import transaction_flags
 from sablefin.plans.monitoring import all_alerts_union, tuned
 from sablefin.plans.rules_sql import rule_sql
-from sablefin.plans.service import page
+from sablefin.plans.service import number_alerts, page
 from sablefin.sources import tables as t
 
 QUERIES: dict = {}
@@ -121,6 +121,15 @@ _UNION = " UNION ALL ".join(f"({rule_sql(s)})" for s in tuned().values())
 _add("alerts_page", alerts_page, f"{t.sql_views()} SELECT rule_id || '/' || customer_id || '/' || period AS alert_id, rule_id, alert_amount AS score FROM ({_UNION}) ORDER BY score DESC, alert_id LIMIT 25 OFFSET 25")
 
 
+def alert_ids(spark: SparkSession, d: str) -> DataFrame:
+    """All alerts with the ids the queue gives them."""
+    a = number_alerts(all_alerts_union(spark, d), "TM", ["customer_id", "period", "rule_id"])
+    return a.select("alert_id", "customer_id", "period", "rule_id")
+
+
+_add("alert_ids", alert_ids, f"{t.sql_views()} SELECT printf('TM-%07d', row_number() OVER (ORDER BY customer_id, period, rule_id)) AS alert_id, customer_id, period, rule_id FROM ({_UNION})")
+
+
 def audit_chain(spark: SparkSession, d: str) -> DataFrame:
     """All alerts as chained audit records."""
     a = all_alerts_union(spark, d)
@@ -128,9 +137,7 @@ def audit_chain(spark: SparkSession, d: str) -> DataFrame:
         F.col("customer_id").cast("string").alias("subject_id"), F.concat(F.last_day(F.to_date(F.concat("period", F.lit("-01")))).cast("string"), F.lit("T00:00:00Z")).alias("occurred_at"),
         F.lit("REVIEW").alias("decision"), F.to_json(F.struct("rule_id", "period", "txn_count")).alias("snapshot"), F.to_json(F.struct("metric_value", "alert_amount")).alias("breakdown"), "rule_id", "customer_id", "period",
     )
-    rows = list(audit.build(events, ["customer_id", "period", "rule_id"], "monitoring-v1", "TM_ALERT"))  # linear in alerts
-    cols = [c.split()[0] for c in audit.SCHEMA.split(", ")]
-    return spark.createDataFrame([tuple(r[c] for c in cols) for r in rows], audit.SCHEMA)
+    return audit.build(events, ["customer_id", "period", "rule_id"], "monitoring-v1", "TM_ALERT")
 
 
 _add("audit_chain", audit_chain)
@@ -144,3 +151,4 @@ def audit_verify(spark: SparkSession, d: str) -> DataFrame:
 
 _add("audit_verify", audit_verify, f"{t.sql_views()} SELECT count(*) AS records, 0::BIGINT AS breaks FROM ({_UNION})")
 _add("audit_summary", lambda s, d: audit.summary(audit_chain(s, d)), f"{t.sql_views()} SELECT 'TM_ALERT' AS event_type, 'REVIEW' AS decision, count(*) AS records FROM ({_UNION})")
+_add("manifest", lambda s, d: audit.manifest_of(s, d))

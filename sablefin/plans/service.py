@@ -8,10 +8,10 @@ from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from sablefin.config import Screening
 from sablefin.operators import audit
+from sablefin.operators.ordering import numbered
 from sablefin.operators.screening import screen_many, transaction_flags
 
 PERSON = "subject_id string, name string, dob string, nationality string, national_id string"
@@ -40,8 +40,9 @@ def check_person(name: str | None, dob: str | None = None, nationality: str | No
 
 
 def number_alerts(alerts: DataFrame, prefix: str, order: list[str]) -> DataFrame:
-    """``alerts`` with alert_id PREFIX-0000001 ... in ``order``: a queue is small, its order total."""
-    return alerts.withColumn("alert_id", F.concat(F.lit(prefix + "-"), F.lpad(F.row_number().over(Window.orderBy(*order)).cast("string"), 7, "0")))
+    """``alerts`` with alert_id PREFIX-0000001 ... over the total ``order``; longer numbers keep all their digits."""
+    n = numbered(alerts, list(order), "_alert", 1)
+    return n.withColumn("alert_id", F.format_string(f"{prefix}-%07d", "_alert")).drop("_alert")
 
 
 def queue(screening: DataFrame, monitoring: DataFrame) -> DataFrame:

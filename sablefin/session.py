@@ -55,17 +55,24 @@ def ship(spark: SparkSession) -> None:
 def scratch_dir(spark: SparkSession) -> str:
     """The folder all executors share: ``spark.checkpoint.dir``.
 
-    Only where the cluster names none (tests, local mode) a temporary one is made and recorded
-    in the context, so that later calls find it.
+    Only in local mode, where driver and executors are one process, a temporary one is made if none is named; it is recorded
+    in the context, so that later calls find it. A cluster without one is an error: a machine's own folder would be lost with it.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not named:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         named = tempfile.mkdtemp(prefix="sablefin-")
         spark.sparkContext.setCheckpointDir(named)
         named = spark.sparkContext.getCheckpointDir()
     return named.rstrip("/")
 
 
+def settled_path(spark: SparkSession, name: str) -> str:
+    """A path in the shared folder that nothing else uses."""
+    return f"{scratch_dir(spark)}/settled/{name}-{uuid.uuid4().hex}"
+
+
 def settle(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a Parquet table in the shared folder and read it back.
 
@@ -75,6 +82,6 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     ship(spark)
-    path = f"{scratch_dir(spark)}/settled/{name}-{uuid.uuid4().hex}"
+    path = settled_path(spark, name)
     df.write.parquet(path, compression="zstd")
     return spark.read.schema(df.schema).parquet(path)

@@ -50,16 +50,57 @@ def test_tampering_shows(spark, records, change, problem):
         audit.verify(frame(spark, rows))
 
 
+def plain_chain(rows, order, start=0, previous=audit.GENESIS):
+    events = ({"event_type": "K", "rule_version": "v2", **{c: r[c] for c in ("subject_id", "occurred_at", "decision")}, "input_snapshot": json.loads(r["snapshot"] or "{}"), "scoring_breakdown": json.loads(r["breakdown"] or "{}")} for r in sorted(rows, key=order))
+    return list(audit.chain(events, start, previous))
+
+
+@pytest.mark.parametrize("segment", [7, 1000])
+def test_built_chain_is_the_plain_one(spark, segment):
+    """Segments that one task links each, continued by a second kind of record."""
+    rows = [{"subject_id": f"S{k % 13}", "occurred_at": "2024-01-01T00:00:00Z", "decision": None if k % 5 == 0 else "REVIEW", "snapshot": None if k == 3 else json.dumps({"b": k / 3, "é\"": [1, None]}), "breakdown": json.dumps({"x": 0.1 * k}), "k": k, "sequence": "clash", "_head": "clash"} for k in range(40)]
+    df = spark.createDataFrame(rows, "subject_id string, occurred_at string, decision string, snapshot string, breakdown string, k int, sequence string, _head string").drop("sequence").repartition(5)
+    got = audit.build(df, ["subject_id", "k"], "v2", "K", segment=segment)
+    want = plain_chain(rows, lambda r: (r["subject_id"], r["k"]))
+    assert [r.asDict() for r in got.orderBy("sequence").collect()] == want
+    assert audit.end(got) == (40, want[-1]["content_hash"])
+    more = audit.build(df.limit(3), ["k"], "v2", "K", *audit.end(got), segment=segment)
+    assert audit.verify(got.unionByName(more)) == 43
+    assert audit.build(df.where("k < 0"), ["k"], "v2", "K").count() == 0 and audit.end(got.where("sequence < 0")) == (0, audit.GENESIS)
+
+
+def test_manifests_by_executors(spark, tmp_path):
+    for n in ("l", "r"):
+        (tmp_path / n / "deep er").mkdir(parents=True)
+        for f, body in (("a.csv", b"1"), ("deep er/b'x.csv", n.encode()), ("_SUCCESS", b""), (".a.csv.crc", b"x"), ("t.json", b"t")):
+            (tmp_path / n / f).write_bytes(body)
+    (tmp_path / "l" / "own").write_bytes(b"")
+    (tmp_path / "r" / "new").write_bytes(b"")
+    left, right = (audit.manifest_of(spark, str(tmp_path / n), ("t.json",)) for n in ("l", "r"))
+    for n, m in (("l", left), ("r", right)):
+        assert {r["name"]: r["sha256"] for r in m.collect()} == audit.manifest(tmp_path / n, ("t.json",))
+    plain = audit.diff_manifests(*(audit.manifest(tmp_path / n, ("t.json",)) for n in ("l", "r")))
+    got = {(r["name"], r["state"]) for r in audit.compare_manifests(left, right).collect()}
+    assert got == {("own", "only_left"), ("new", "only_right"), ("deep er/b'x.csv", "differs")}
+    assert plain == {"only_left": ["own"], "only_right": ["new"], "differ": ["deep er/b'x.csv"]}
+
+
 def test_jsonl_round_trip_and_csv(spark, records, tmp_path):
-    audit.write_jsonl(records, tmp_path / "a.jsonl")
-    back = audit.read_jsonl(spark, str(tmp_path / "a.jsonl"))
+    for n in ("a", "b"):
+        assert audit.write_jsonl(frame(spark, records).repartition(3), str(tmp_path / n), lines=2) == 5
+        assert sorted(f.name for f in (tmp_path / n).iterdir() if f.suffix == ".jsonl") == [f"{k:09d}.jsonl" for k in range(3)]
+    assert audit.manifest(tmp_path / "a") == audit.manifest(tmp_path / "b")
+    assert (tmp_path / "a" / "000000000.jsonl").read_text() == "".join(audit.canonical(r) + "\n" for r in records[:2])
+    back = audit.read_jsonl(spark, str(tmp_path / "a"))
     assert audit.verify(back) == 5
+    tmp_path = tmp_path / "csv"
+    tmp_path.mkdir()
     df = spark.createDataFrame([(2, 0.5, "x,y"), (1, None, 'q"')], "k int, v double, s string")
     for n in ("a.csv", "b.csv"):
         audit.write_csv(df.repartition(3), tmp_path / n, ["k"])
     assert (tmp_path / "a.csv").read_bytes() == b'k,v,s\n1,,"q"""\n2,0.500000,"x,y"\n' == (tmp_path / "b.csv").read_bytes()
     m = audit.manifest(tmp_path, ("b.csv",))
-    assert set(m) == {"a.csv", "a.jsonl"}
+    assert set(m) == {"a.csv"}
     assert audit.diff_manifests(m, {**m, "c": "1", "a.csv": "2"}) == {"only_left": [], "only_right": ["c"], "differ": ["a.csv"]}
     assert audit.run_id(1, ["b", "a"]) == audit.run_id(1, ["a", "b"]) != audit.run_id(2, ["a", "b"])
 
@@ -166,3 +207,13 @@ def test_sources(spark, sf, tmp_path):
         t.read_tables(spark, sf, ["nothing"])
     (tmp_path / "a.csv").write_text("k,v\n1,x\n")
     assert t.read_csv(spark, str(tmp_path / "a.csv"), "k int, v string").first() == (1, "x")
+
+
+def test_numbered_queue(spark):
+    a = spark.createDataFrame([(f"C{k % 3}", f"U{k}", "REVIEW", 0.9, "w") for k in range(20)], "subject_id string, watchlist_uid string, decision string, final_score double, watchlist_name string")
+    m = spark.createDataFrame([(k % 4, "2024-01", f"R0{k}", 1.0) for k in range(8)], "customer_id long, period string, rule_id string, metric_value double")
+    ids = {r["alert_id"]: r for r in svc.queue(a, m).collect()}
+    assert sorted(ids) == [f"SCR-{k:07d}" for k in range(1, 21)] + [f"TM-{k:07d}" for k in range(1, 9)]
+    assert ids["SCR-0000001"]["subject_id"] == "C0" and ids["TM-0000008"]["detail"] == "R07 2024-01"
+    far = svc.number_alerts(spark.createDataFrame([(1,)], "k int"), "X", ["k"])
+    assert far.first()["alert_id"] == "X-0000001" and far.columns == ["k", "alert_id"]
