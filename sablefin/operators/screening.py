@@ -20,6 +20,8 @@ from sablefin.config import SCREENING_GRID, Screening
 from sablefin.functions import metaphone, names, similarity
 from sablefin.session import settle, ship
 
+#: Digits in which scores are compared, with each other and with thresholds: beyond them, the order of float operations decides.
+TIE = 9
 NAME_TYPE = (
     "latin string, normalized string, tokens array<string>, sorted_key string, initials string, script string, is_organization boolean, "
     "honorifics array<string>, particles array<string>, lossy boolean, keys array<string>, refine string"
@@ -154,7 +156,7 @@ def likely(subs: DataFrame, refs: DataFrame, cfg: Screening) -> DataFrame:
     right = _keyed(refs.select("n", F.col("n.normalized").alias("r_name"), F.col("n.sorted_key").alias("r_key")), big, "r_name", "r_key").distinct()
     pairs = left.join(right, "key").select("s_name", "s_key", "r_name", "r_key").distinct()
     pre = F.lit(1.0) if cfg.prefilter <= 0 else _jw(F.col("s_key"), F.col("r_key"))
-    return pairs.select("s_name", "r_name", pre.alias("pre")).where(F.col("pre") >= cfg.prefilter)
+    return pairs.select("s_name", "r_name", pre.alias("pre")).where(F.round("pre", TIE) >= cfg.prefilter)
 
 
 def shortlist(pairs: DataFrame, refs: DataFrame, cfg: Screening) -> DataFrame:
@@ -167,7 +169,7 @@ def shortlist(pairs: DataFrame, refs: DataFrame, cfg: Screening) -> DataFrame:
     if cfg.prefilter <= 0:
         return d.withColumn("cut", F.lit(False))
     w = Window.partitionBy("s_name")
-    d = d.withColumn("_k", F.row_number().over(w.orderBy(F.desc("pre"), "uid", "pos"))).where(F.col("_k") <= cfg.shortlist + 1)
+    d = d.withColumn("_k", F.row_number().over(w.orderBy(F.desc(F.round("pre", TIE)), "uid", "pos"))).where(F.col("_k") <= cfg.shortlist + 1)
     return d.withColumn("cut", F.max("_k").over(w) > cfg.shortlist).where(F.col("_k") <= cfg.shortlist).drop("_k")
 
 
@@ -201,7 +203,7 @@ def _year(c: Column) -> Column:
 def corroborated(df: DataFrame, cfg: Screening) -> DataFrame:
     """name_score, corroboration_delta, final_score, decision, corroboration (map label -> delta).
 
-    Absent data never counts. A strong name can't fall under the floor. Decisions are taken before rounding.
+    Absent data never counts. A strong name can't fall under the floor. Decisions are taken before scores are rounded for output.
     """
     s = F.col("sig")
     name = cfg.jaro_winkler * s["jw"] + cfg.token_set * s["token_set"] + cfg.phonetic * s["phonetic"] + cfg.initials * s["initials"]
@@ -221,11 +223,11 @@ def corroborated(df: DataFrame, cfg: Screening) -> DataFrame:
         delta = delta + F.when(test, v).otherwise(0.0)
     d = df.withColumn("name_score", name).withColumn("corroboration_delta", delta)
     plain = F.least(F.lit(1.0), F.greatest(F.lit(0.0), F.col("name_score") + F.col("corroboration_delta")))
-    final = F.when(F.col("name_score") >= cfg.strong_name_floor, F.greatest(plain, F.lit(cfg.strong_name_floor_score))).otherwise(plain)
+    final = F.when(F.round("name_score", TIE) >= cfg.strong_name_floor, F.greatest(plain, F.lit(cfg.strong_name_floor_score))).otherwise(plain)
     applied = F.map_filter(F.create_map(*(x for k, (t, v) in rules.items() for x in (F.lit(k), F.when(t, F.lit(v))))), lambda k, v: v.isNotNull())
     lift = F.map_filter(F.create_map(F.lit("strong_name_floor"), final - plain), lambda k, v: v > 0)
     d = d.withColumn("final_score", final).withColumn("corroboration", F.map_concat(applied, lift))
-    return d.withColumn("decision", F.when(F.col("final_score") >= cfg.escalate, "ESCALATE").when(F.col("final_score") >= cfg.review, "REVIEW").otherwise("DISCARD"))
+    return d.withColumn("decision", F.when(F.round("final_score", TIE) >= cfg.escalate, "ESCALATE").when(F.round("final_score", TIE) >= cfg.review, "REVIEW").otherwise("DISCARD"))
 
 
 ALERT = (
@@ -245,15 +247,15 @@ def screen_many(people: DataFrame, watchlist: DataFrame, cfg: Screening | None =
     short = short.join(refs.withColumnRenamed("n", "nr"), ["uid", "pos"])
     people = subs.withColumn("s_name", F.col("n.normalized")).withColumnRenamed("n", "ns")
     scored = corroborated(short.join(people, "s_name"), cfg)
-    scored = scored.where(F.col("final_score") >= min_score)
-    best = Window.partitionBy("subject_id", "uid").orderBy(F.desc("final_score"), F.when(F.col("cut"), -F.col("pre")), "pos")
+    scored = scored.where(F.round("final_score", TIE) >= min_score)
+    best = Window.partitionBy("subject_id", "uid").orderBy(F.desc(F.round("final_score", TIE)), F.when(F.col("cut"), -F.round("pre", TIE)), "pos")
     one = scored.withColumn("_b", F.row_number().over(best)).where("_b = 1")
-    top = one.withColumn("_t", F.row_number().over(Window.partitionBy("subject_id").orderBy(F.desc("final_score"), "uid"))).where(F.col("_t") <= top_n)
+    top = one.withColumn("_t", F.row_number().over(Window.partitionBy("subject_id").orderBy(F.desc(F.round("final_score", TIE)), "uid"))).where(F.col("_t") <= top_n)
     r = (lambda c: c) if digits is None else (lambda c: F.round(c, digits))
     return top.select(
         "subject_id", "subject_name", F.col("uid").alias("watchlist_uid"), F.col("entity_name").alias("watchlist_name"), "program", "matched_on",
         r(F.col("name_score")).alias("name_score"), r(F.col("corroboration_delta")).alias("corroboration_delta"), r(F.col("final_score")).alias("final_score"), "decision",
-        r(F.col("sig.jw")).alias("jaro_winkler"), r(F.col("sig.token_set")).alias("token_set"), r(F.col("sig.phonetic")).alias("phonetic"), r(F.col("sig.initials")).alias("initials"), F.col("sig.order_swapped").alias("order_swapped"),
+        r(F.col("sig.jw")).alias("jaro_winkler"), r(F.col("sig.token_set")).alias("token_set"), r(F.col("sig.phonetic")).alias("phonetic"), r(F.col("sig.initials")).alias("initials"), F.col("sig.order_swapped").alias("order_swapped"), "corroboration",
     )
 
 
@@ -275,6 +277,12 @@ def blocking_stats(people: DataFrame, watchlist: DataFrame, cfg: Screening | Non
     return out.withColumn("mean_candidates", F.col("candidate_pairs") / F.nullif(F.col("queries"), F.lit(0))).withColumn("reduction", 1 - F.col("candidate_pairs") / F.nullif(F.col("queries") * F.col("references"), F.lit(0)))
 
 
+def key_counts(refs: DataFrame) -> DataFrame:
+    """(strategy, blocks, entries): distinct block keys of reference names by the strategy that made them, and how often names have them."""
+    each = refs.select(F.explode("n.keys").alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    return each.groupBy(F.substring_index("key", ":", 1).alias("strategy")).agg(F.count(F.lit(1)).alias("blocks"), F.sum("n").alias("entries"))
+
+
 def blocking_recall(truth: DataFrame, people: DataFrame, watchlist: DataFrame, cfg: Screening | None = None) -> DataFrame:
     """One row: how many (subject_id, uid) of ``truth`` share a block.
 
@@ -316,6 +324,27 @@ def screening_sweep(alerts: DataFrame, truth: DataFrame, grid: tuple[float, ...]
     )
 
 
+def screening_metrics(alerts: DataFrame, people: DataFrame, truth: DataFrame, grid: tuple[float, ...] = (0.86,)) -> DataFrame:
+    """All thirteen measures of alerts from each threshold on: those of ``screening_sweep`` under their own names, and
+
+    alert_rate over all ``people``(subject_id, near_miss), and how many planted near misses there are and alert.
+    Rates are 0 where nothing was planted; fp_ratio is infinite where nothing is detected.
+    """
+    base = screening_sweep(alerts, truth, grid)
+    n, near = people.agg(F.count(F.lit(1)), F.count(F.when(F.col("near_miss"), 1))).first()
+    best = alerts.groupBy("subject_id").agg(F.max("final_score").alias("best")).join(people.where("near_miss").select("subject_id"), "subject_id", "left_semi")
+    hits = best.agg(*(F.count(F.when(F.col("best") >= t, 1)).alias(f"n{k}") for k, t in enumerate(grid)))
+    hits = hits.select(F.inline(F.array(*(F.struct(F.lit(float(t)).alias("_t"), F.col(f"n{k}").alias("near_misses_alerted")) for k, t in enumerate(grid)))))
+    d = base.join(F.broadcast(hits), F.col("threshold") == F.col("_t"))  # a row per threshold
+    planted = truth.count()
+    share = lambda a, b: F.round(F.coalesce(a / F.nullif(F.lit(float(b)), F.lit(0.0)), F.lit(0.0)), 6)
+    return d.select(
+        "threshold", F.lit(planted).cast("long").alias("planted_true_matches"), F.col("detected").alias("detected_true_matches"), "recall", "alerted_subjects", "alert_rows",
+        share(F.col("alerted_subjects"), n).alias("alert_rate"), "precision", F.round("fp_ratio", 4).alias("false_positive_ratio"), F.lit(near).cast("long").alias("planted_near_misses"),
+        "near_misses_alerted", share(F.col("near_misses_alerted"), near).alias("near_miss_alert_rate"), "escalations",
+    )
+
+
 def transaction_flags(tx: DataFrame, risk: DataFrame, near: tuple[float, float] = (8200.0, 9900.0), ctr: float = 10000.0) -> DataFrame:
     """txn_id and flags: CTR_REPORTABLE, else NEAR_CTR_CASH; HIGH_RISK_CORRIDOR; ROUND_VALUE. ``high``: one of them
     is of high severity, the corridor's."""

@@ -10,7 +10,7 @@ from sablefin.config import Screening
 from sablefin.operators import models, screening as sc
 from sablefin.plans.features import SEGMENTS, transformed
 from sablefin.session import settle
-from sablefin.sources import generator, tables as t
+from sablefin.sources import generator, given, tables as t
 from sablefin.operators.features import BASE, PEER, SELF
 
 QUERIES: dict = {}
@@ -23,6 +23,11 @@ def _add(name: str, query, sql: str | None = None) -> None:
         ORACLE_SQL[name] = sql
 
 
+def alerts_of(df: DataFrame) -> DataFrame:
+    """Alerts with the names of what corroborates them, as maps don't compare."""
+    return df.withColumn("corroboration", F.array_join(F.array_sort(F.map_keys("corroboration")), ","))
+
+
 def part_names(spark: SparkSession, d: str) -> DataFrame:
     return t.read_table(spark, d, "part").select(F.col("p_name").alias("name")).distinct()
 
@@ -62,14 +67,16 @@ _add("shortlist_top40", shortlist_top40, f"SELECT a, b, jw, k::INTEGER AS k FROM
 
 
 def _feed(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """A generated watchlist and customers, as many as the customer table's, and the planted truth."""
-    n = t.read_table(spark, d, "customer").count()
-    w = generator.watchlist(spark, max(n // 5, 50))
-    c = generator.customers(spark, n, w, hits=max(n // 50, 10))
-    return c, w, c.where("planted_uid is not null").select("subject_id", F.col("planted_uid").alias("uid"))
+    """People, watchlist and planted truth, named by the words of the given documents."""
+    return given.feed(spark, d)
+
 
+def _generated(spark: SparkSession, d: str) -> DataFrame:
+    """A generated watchlist of all scripts."""
+    return generator.watchlist(spark, max(t.read_table(spark, d, "customer").count() // 5, 50))
 
-_add("normalize_names", lambda s, d: _feed(s, d)[1].select("uid", "name", sc.normalized(F.col("name"), Screening()).alias("n")).select("uid", "name", "n.normalized", "n.sorted_key", "n.script", "n.lossy"))
+
+_add("normalize_names", lambda s, d: _generated(s, d).select("uid", "name", sc.normalized(F.col("name"), Screening()).alias("n")).select("uid", "name", "n.normalized", "n.sorted_key", "n.script", "n.lossy"))
 _add("block_keys", lambda s, d: _feed(s, d)[1].select("uid", F.explode(sc.normalized(F.col("name"), Screening())["keys"]).alias("key")))
 _add("double_metaphone", lambda s, d: part_names(s, d).select("name", F.array_join(sc.normalized(F.col("name"), Screening(strategies=("PA",)))["keys"], " ").alias("keys")))
 
@@ -91,16 +98,24 @@ def blocking_recall(spark: SparkSession, d: str) -> DataFrame:
 
 _add("blocking_recall", blocking_recall)
 _add("token_set", lambda s, d: _pairs(s, d).select("a", "b", F.round(sc.signals(Screening())(F.lower("a"), F.lower("b"), _words(F.col("a")), _words(F.col("b")))["token_set"], 9).alias("token_set")))
-_add("screen_many", lambda s, d: sc.screen_many(*_feed(s, d)[:2]))
+_add("screen_many", lambda s, d: alerts_of(sc.screen_many(*_feed(s, d)[:2])))
 
 
 def screening_sweep(spark: SparkSession, d: str) -> DataFrame:
     c, w, truth = _feed(spark, d)
-    return sc.screening_sweep(sc.screen_many(c, w, digits=None), truth)
+    return sc.screening_sweep(settle(sc.screen_many(c, w, digits=None), "alerts"), truth)
 
 
 _add("screening_sweep", screening_sweep)
-_add("screening_metrics", lambda s, d: screening_sweep(s, d).where("threshold = 0.86"))
+
+
+def screening_metrics(spark: SparkSession, d: str) -> DataFrame:
+    c, w, truth = _feed(spark, d)
+    return sc.screening_metrics(settle(sc.screen_many(c, w, digits=None), "alerts"), c, truth)
+
+
+_add("screening_metrics", screening_metrics)
+_add("key_counts", lambda s, d: sc.key_counts(sc.references(_feed(s, d)[1], Screening())))
 MODEL_FEATURES = [*BASE, *(f"peer_ratio_{c}" for c in PEER), *SELF, *(f"segment_{x}" for x in SEGMENTS)]
 
 
