@@ -61,8 +61,9 @@ def _ranked(pieces: DataFrame, doc_id: str) -> DataFrame:
     counts = pieces.groupBy("length", "_bucket").count()
     starts = settle(counts.select(F.col("length").alias("_l"), F.col("_bucket").alias("_b"), F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_start")), "length-starts")
     inside = Window.partitionBy("length", "_bucket").orderBy(doc_id, "piece", "ids_crc32")
+    # starts have a row a length and bucket, so they grow with the pieces: merged at every size
     ranked = pieces.repartition(spread(spark, n, 1_000_000), "length", "_bucket").withColumn("_in", F.row_number().over(inside) - 1)
-    return ranked.join(starts, (F.col("length") == F.col("_l")) & (F.col("_bucket") == F.col("_b"))).withColumn("_rank", F.col("_start") + F.col("_in"))
+    return ranked.join(starts.hint("merge"), (F.col("length") == F.col("_l")) & (F.col("_bucket") == F.col("_b"))).withColumn("_rank", F.col("_start") + F.col("_in"))
 
 
 def pack(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text", capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:

@@ -4,10 +4,11 @@ Minimise sequences: choose how often to use each configuration, a multiset of le
 capacity, so that every piece is used. The configuration program is solved over classes of like
 lengths by multiplicative weights: weights fall exponentially with how far a class is covered, and
 the next configuration is the most valuable one under them, found by knapsack dynamic programming.
-The fractional solution is rounded down; every whole use is realised with pieces of its classes, the
-last of them being whichever length left fits best. What rounding leaves is packed by best fit. That
-is done with the configurations that fill their sequences, with all, and with none; the plan with
-fewest sequences is taken.
+The fractional solution is rounded by running sums, so that like configurations share their fractions and
+hardly any use is lost; every whole use is realised with pieces of its classes, the
+last of them being whichever length left fits best. What the program leaves, lengths whose classes ran out, is packed by
+best fit. That is done with the configurations that fill their sequences and with all; the plan with fewest sequences is
+taken.
 
 All loops run over lengths and classes, at most ``capacity`` of them, with multiplicities: a step
 uses up a length, so the plan's size doesn't grow with the number of documents.
@@ -79,6 +80,19 @@ def configuration_lp(sizes: np.ndarray, demand: np.ndarray, cells: int, step: fl
     return [(use, times * scale) for use, times in found.values()]
 
 
+def rounded(solved: list[tuple[np.ndarray, float]]) -> list[tuple[np.ndarray, int]]:
+    """Whole uses of each configuration: the whole part of the running sum of all uses, in order of their largest classes.
+
+    All uses of any stretch of that order differ from their sum by less than one.
+    """
+    out, total = [], 0.0
+    for use, times in sorted(solved, key=lambda x: (-int(np.flatnonzero(x[0])[-1]), x[0].tolist()[::-1])):
+        before, total = int(total + 1e-9), total + times
+        if (k := int(total + 1e-9) - before) > 0:
+            out.append((use, k))
+    return out
+
+
 class Plan:
     """Segments written so far and the pieces still unused."""
 
@@ -86,6 +100,7 @@ class Plan:
         self.left, self.capacity = counts.astype(np.int64).copy(), capacity
         self.used = np.zeros(len(counts), np.int64)
         self.sequences, self.segments = 0, []
+        self.configured = 0  # sequences that came from configurations
         self.have = sum(1 << int(n) for n in np.flatnonzero(self.left))  # bit n: length n is left
 
     def longest(self, most: int) -> int:
@@ -126,13 +141,13 @@ class Plan:
         return times
 
 
-def _realise(plan: Plan, members: list[np.ndarray], solved: list[tuple[np.ndarray, float]], full: bool) -> Plan:
-    """``plan`` with the whole uses of each configuration, and best fit for what is left.
+def _realise(plan: Plan, members: list[np.ndarray], solved: list[tuple[np.ndarray, int]], full: bool) -> Plan:
+    """``plan`` with the uses of each configuration, and best fit for what is left.
 
     With ``full`` a configuration ends once its lengths leave room; else once they run out.
     """
     for use, times in sorted(solved, key=lambda x: (-int(np.flatnonzero(x[0])[-1]), -x[1])):
-        whole = int(times)
+        whole = times
         while whole > 0:
             chosen: dict[int, int] = {}
             room = plan.capacity
@@ -153,15 +168,16 @@ def _realise(plan: Plan, members: list[np.ndarray], solved: list[tuple[np.ndarra
             if tokens < plan.capacity and (full or not found or sum(chosen.values()) < len(picks)):
                 break  # its lengths no longer fill a sequence: best fit may use them better
             whole -= plan.emit(chosen, whole)
+    plan.configured = plan.sequences
     while top := plan.longest(plan.capacity):
         plan.emit(plan.complete({top: 1}))
     return plan
 
 
-def make_plan(counts: np.ndarray, capacity: int, n_classes: int = 64, step: float = 0.02, cell: int = 16, rounds: int = 4000) -> tuple[np.ndarray, int]:
-    """(segments, sequences) that place every piece of ``counts`` (pieces by length, to ``capacity``).
+def solve(counts: np.ndarray, capacity: int, n_classes: int = 64, step: float = 0.05, cell: int = 16, rounds: int = 4000) -> Plan:
+    """The plan that places every piece of ``counts`` (pieces by length, to ``capacity``), by the configuration program.
 
-    Of the plans with full configurations only, with all of them, and with none, the one with fewest sequences.
+    Of the plans with full configurations only and with all of them, the one with fewest sequences.
     """
     counts = np.asarray(counts, np.int64)
     group = classes(counts, n_classes)
@@ -171,7 +187,11 @@ def make_plan(counts: np.ndarray, capacity: int, n_classes: int = 64, step: floa
         demand = np.array([counts[m].sum() for m in members], float)
         mean = np.array([(counts[m] * m).sum() for m in members]) / demand
         sizes = np.maximum(np.round(mean / cell).astype(int), 1)
-        solved = configuration_lp(sizes, demand, capacity // cell, step, rounds)
-    tries = (_realise(Plan(counts, capacity), members, some, full) for some, full in ((solved, True), (solved, False), ([], True)))
-    plan = min(tries, key=lambda p: p.sequences)
+        solved = rounded(configuration_lp(sizes, demand, capacity // cell, step, rounds))
+    return min((_realise(Plan(counts, capacity), members, solved, full) for full in (True, False)), key=lambda p: p.sequences)
+
+
+def make_plan(counts: np.ndarray, capacity: int, **how) -> tuple[np.ndarray, int]:
+    """(segments, sequences) of ``solve``."""
+    plan = solve(counts, capacity, **how)
     return np.array(plan.segments, np.int64).reshape(-1, len(SEGMENT)), plan.sequences

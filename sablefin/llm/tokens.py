@@ -1,11 +1,12 @@
 """Token counts: pieces counted once per distinct pre-token, joined to per-document frequencies.
 
 No token ids are kept. A first pass finds the pre-tokens that make up most of the corpus with
-a mergeable heavy-hitter summary; their piece counts form a table of at most ``head`` rows that every
-task can hold. A second pass turns each document into pre-token frequencies and joins
+a mergeable heavy-hitter summary; their piece counts form a table of at most ``head`` rows and a bounded
+number of bytes that every task can hold. A second pass turns each document into pre-token frequencies and joins
 them to that table on the spot. What it doesn't hold goes the exact way for the rest: (row,
 pre-token, frequency) is shuffled by pre-token, counted once per distinct one in sorted runs, and
-summed by row. A pre-token of the rest can't be hot, because every hot one is a heavy hitter.
+summed by row. A pre-token of the rest can't be hot, because every hot one is a heavy hitter, however
+long, up to ``HUGE`` bytes; longer ones cost less to count where they are found than to move, and are.
 """
 
 from __future__ import annotations
@@ -26,10 +27,14 @@ HEAD = 200_000
 LOCAL = 40_000
 LIMIT = 2048
 _PRUNE = 600_000
+#: Pre-tokens over this many bytes are counted on the spot.
+HUGE = 65_536
+#: Bytes of pre-tokens that the held table and a task's report may have.
+HELD_BYTES, REPORT_BYTES = 64 << 20, 16 << 20
 
 
-def heavy_hitters(texts: DataFrame, head: int, local: int) -> list[bytes]:
-    """At most ``head`` pre-tokens (bytes) of ``texts``(text binary), by frequency over all rows.
+def heavy_hitters(texts: DataFrame, head: int, local: int, held_bytes: int = HELD_BYTES) -> list[bytes]:
+    """At most ``head`` pre-tokens (bytes) of ``texts``(text binary), by frequency over all rows, of ``held_bytes`` in all.
 
     A task counts every pre-token it sees. Past a bound on memory it forgets those seen
     once, and it reports its ``local`` most frequent: a pre-token with a share of the corpus above
@@ -40,13 +45,17 @@ def heavy_hitters(texts: DataFrame, head: int, local: int) -> list[bytes]:
         seen: Counter = Counter()
         for b in batches:
             for t in b.column("text").to_pylist():
-                seen.update(kernel.parts(t or b""))
+                seen.update(p for p in kernel.parts(t or b"") if len(p) <= HUGE)
                 if len(seen) > _PRUNE:
                     floor = 1
                     while len(seen) > _PRUNE // 2:
                         seen = Counter({p: n for p, n in seen.items() if n > floor})
                         floor *= 2
-        top = [x for x in seen.most_common(local) if len(x[0]) <= 64]
+        top, room = [], REPORT_BYTES  # the most frequent first; the rest of the room goes to shorter ones
+        for p, n in seen.most_common(local):
+            if len(p) <= room:
+                top.append((p, n))
+                room -= len(p)
         yield pa.RecordBatch.from_arrays([pa.array([p for p, _ in top], pa.binary()), pa.array([n for _, n in top], pa.int64())], names=["p", "n"])
 
     got = settle(texts.mapInArrow(run, "p binary, n long").groupBy("p").agg(F.sum("n").alias("n")), "heavy-hitters")
@@ -54,10 +63,11 @@ def heavy_hitters(texts: DataFrame, head: int, local: int) -> list[bytes]:
     # a sort would send every task's best to the driver
     low = F.greatest(F.length(F.bin("n")) - 5, F.lit(0))
     cell = F.call_function("shiftleft", F.call_function("shiftright", F.col("n"), low), low)
-    least, held = None, 0
-    for r in sorted(got.groupBy(cell.alias("c")).count().collect(), key=lambda r: -r["c"]):
+    least, held, room = None, 0, held_bytes
+    for r in sorted(got.groupBy(cell.alias("c")).agg(F.count(F.lit(1)).alias("count"), F.sum(F.octet_length("p")).alias("bytes")).collect(), key=lambda r: -r["c"]):
         held += r["count"]
-        if held > head:
+        room -= r["bytes"]
+        if held > head or room < 0:
             break
         least = r["c"]
     return [] if least is None else sorted(bytes(r["p"]) for r in got.where(F.col("n") >= least).select("p").collect())
@@ -86,6 +96,8 @@ def count_tokens(
                 total, other = 0, []
                 for p, n in kernel.frequencies(t).items():
                     k = known.get(p)
+                    if k is None and len(p) > HUGE:
+                        k = kernel.count_pieces(path, [p])[0]
                     if k is None:
                         other.append({"p": p, "n": n})
                     else:

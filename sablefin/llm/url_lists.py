@@ -23,8 +23,8 @@ MAX_HOST = 253
 
 def host(url: Column) -> Column:
     """Lower-cased host of an absolute URL, '' where there is none."""
-    h = F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), _HOST, 1))
-    return F.when(F.length(h) <= MAX_HOST, F.rtrim(h, F.lit("."))).otherwise("")
+    h = F.rtrim(F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), _HOST, 1)), F.lit("."))  # the root's dot isn't part of a name
+    return F.when(F.length(h) <= MAX_HOST, h).otherwise("")
 
 
 def domains(name: Column) -> Column:

@@ -44,6 +44,19 @@ def test_counts(docs_of, odd_rows, library, head):
     assert tokens.count_tokens(docs_of([]), token_kernel.default_path()).count() == 0
 
 
+def test_hot_long_chunks_are_held(docs_of, library):
+    """A 200-byte chunk in all rows is a heavy hitter; chunks over the bound are counted where they are."""
+    hot, huge = "https://example.org/" + "a1-" * 60, "é漢x" * 20_000
+    rows = [(k, f"w{k} {hot} tail{k % 7}") for k in range(400)] + [(1000, f"{huge} {hot}"), (1001, huge)]
+    texts = docs_of(rows).select(F.col("text").cast("binary").alias("text"))
+    held = tokens.heavy_hitters(texts, 200_000, 40_000)
+    assert hot.encode() in held and max(map(len, held)) <= tokens.HUGE
+    few = tokens.heavy_hitters(texts, 200_000, 40_000, held_bytes=220)
+    assert few == [hot.encode()]
+    got = tokens.count_tokens(docs_of(rows), token_kernel.default_path()).collect()
+    assert {r["doc_id"]: r["n_tokens"] for r in got} == {i: len(plain_ids(library, t)) for i, t in rows}
+
+
 def check_packing(got, texts, library, capacity=4096):
     """Pieces cover each document's ids exactly; sequences are gapless and within capacity."""
     want = Counter()
@@ -118,6 +131,25 @@ def test_program_decides_where_no_lengths_fill_a_sequence():
     assert (placed == counts).all()
 
 
+@pytest.mark.parametrize("spread", [0.5, 1.0, 1.5])
+def test_plan_comes_from_the_program_and_is_near_the_bound(spread):
+    """Most sequences are configurations of the program; none is a plan of best fit alone."""
+    lengths = np.clip(np.random.default_rng(1).lognormal(5.5, spread, 30_000).astype(int), 1, 4095)
+    plan = packing_plan.solve(np.bincount(lengths, minlength=4097), 4096)
+    assert plan.sequences <= -(-int(lengths.sum()) // 4096) * 1.001 + 1
+    assert plan.configured > 0.6 * plan.sequences
+
+
+def test_rounding_keeps_the_uses_of_every_stretch():
+    rng = np.random.default_rng(3)
+    solved = [(rng.multinomial(4, np.ones(6) / 6), float(t)) for t in rng.exponential(0.4, 400)]
+    got = packing_plan.rounded(solved)
+    assert abs(sum(k for _, k in got) - sum(t for _, t in solved)) < 1
+    for g in range(6):  # those whose largest class is g follow each other
+        mine = lambda some: sum(t for u, t in some if np.flatnonzero(u)[-1] == g)  # noqa: E731, B023
+        assert abs(mine(got) - mine(solved)) < 1
+
+
 def test_pricing_finds_the_most_valuable_configuration():
     rng = np.random.default_rng(2)
     for _ in range(20):

@@ -11,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sablefin.llm import pii, pii_kernel, quality, ranking, ranking_kernel, secrets, url_lists
+from tests.oracle import TABLES, assert_same
 
 SECRET = {
     "assign": (re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A), 2, 6),
@@ -177,6 +178,18 @@ def test_url_lists(spark):
     assert url_lists.evaluate(c.limit(0), e.limit(0)).count() == 0
 
 
+def test_longest_hosts(spark, dir_of):
+    """The root's dot doesn't count as part of a name: 253 characters with it stripped are a host, 254 aren't."""
+    longest = ".".join(["a" * 49] * 5) + ".bc"
+    assert len(longest) == 252
+    urls = [f"http://x{longest}./p", f"http://x{longest}", f"http://xy{longest}/", f"http://xy{longest}./", "http://b.org../", None]
+    pages = spark.createDataFrame([(k, u, "") for k, u in enumerate(urls)], "page_id long, url string, html string")
+    d = dir_of(**{t: pages if t == "pages" else spark.range(1) for t in TABLES})
+    assert assert_same(url_lists.op4_url_lists(spark, d), url_lists.ORACLE, d) == len(urls)
+    hosts = [r["host"] for r in url_lists.op4_url_lists(spark, d).orderBy("page_id").collect()]
+    assert hosts == [f"x{longest}", f"x{longest}", "", "", "b.org", ""]
+
+
 PLAIN = [re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"), re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"), re.compile(r"[0-9]([\x20-]?[0-9])+"), re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")]
 
 
