@@ -8,7 +8,7 @@ that entity is removed, one that reveals at least ``general_at`` is generalised.
 from ``support`` different windows, so that copies of one passage prove nothing.
 
 Two passes read texts. The first leaves spans and contexts, settled. Pairs with enough support name
-candidate terms; a bloom filter of fixed size carries them to the second pass, which counts their
+candidate terms; a bloom filter of bounded size, made by tasks, carries them to the second pass, which counts their
 document frequency over the whole corpus; false positives fall out in the join. Tallies fold before
 they are shuffled, so an entity that a third of all rows hold costs a few partial sums.
 """
@@ -55,7 +55,7 @@ def _found(docs: DataFrame, keep: tuple[str, ...], text: str, width: int, reach:
 
 def document_frequency(texts: DataFrame, bloom: kernel.Bloom) -> DataFrame:
     """(t, df): rows of ``texts``(text) that hold each term the filter lets pass."""
-    held = texts.sparkSession.sparkContext.broadcast(bloom)  # of fixed size
+    held = texts.sparkSession.sparkContext.broadcast(bloom)  # of bounded size
 
     def flush(tally: Counter) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(list(tally), pa.string()), pa.array(list(tally.values()), pa.int64())], names=["t", "n"])
@@ -86,6 +86,18 @@ def document_frequency(texts: DataFrame, bloom: kernel.Bloom) -> DataFrame:
     return texts.mapInArrow(run, "t string, n long").groupBy("t").agg(F.sum("n").alias("df"))
 
 
+def candidate_filter(terms: DataFrame) -> kernel.Bloom:
+    """A filter that lets every one of ``terms``(_t) pass and few others. Tasks set its bits, which fold before they are shuffled;
+    the driver gets its words, whose number follows from that of the terms and has a bound."""
+    log2 = kernel.log2_bits(terms.count())
+    h, mask = F.xxhash64("_t"), (1 << log2) - 1
+    place = F.explode(F.array(h.bitwiseAND(F.lit(mask)), F.shiftrightunsigned(h, 32).bitwiseAND(F.lit(mask)))).alias("p")
+    word = F.shiftright("p", 6)
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("p").bitwiseAND(F.lit(63)).cast("int"))
+    got = terms.select(place).groupBy(word.cast("int").alias("w")).agg(F.bit_or(bit).alias("bits"))
+    return kernel.Bloom(log2, [(r["w"], r["bits"]) for r in got.collect()])
+
+
 def disclosing(rows: DataFrame, texts: DataFrame, support: int, general_at: float, remove_at: float) -> DataFrame:
     """(e, t, rank): pairs whose term discloses the entity, with the rank of the verdict's kind."""
     spark = rows.sparkSession
@@ -96,11 +108,7 @@ def disclosing(rows: DataFrame, texts: DataFrame, support: int, general_at: floa
     pairs = per_window.groupBy("e", "t").agg(F.sum("docs").alias("both"), F.count(F.lit(1)).alias("windows")).where(F.col("windows") >= support)
     pairs = settle(pairs.select(F.col("e").alias("_e"), F.col("t").alias("_t"), "both"), "pii-pairs")
     ent = rows.where(F.size("_near") > 0).select(F.explode(F.array_distinct(F.transform("_near", lambda x: x["e"]))).alias("e")).groupBy("e").agg(F.count(F.lit(1)).alias("df_e"))
-    bloom = kernel.Bloom()
-    # terms stream through the driver into a filter of fixed size, none is kept
-    for r in pairs.select("_t").distinct().toLocalIterator():
-        bloom.add(r["_t"])
-    df = document_frequency(texts, bloom)
+    df = document_frequency(texts, candidate_filter(settle(pairs.select("_t").distinct(), "pii-terms")))
     scored = pairs.join(df, F.col("_t") == F.col("t")).join(ent, F.col("_e") == F.col("e"))
     pmi = F.log(F.least(F.col("both"), F.col("df"), F.col("df_e")) * F.lit(float(n)) / (F.col("df_e") * F.col("df")))
     ic = F.log(F.lit(float(n)) / F.col("df_e"))

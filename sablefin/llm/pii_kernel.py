@@ -105,20 +105,20 @@ def contexts(text: str, spans: list[tuple[int, int, int]], width: int, reach: in
                 yield who, inner.lower(), at, at + len(inner), window
 
 
-class Bloom:
-    """A fixed number of bits that says which terms can't be candidates."""
+def log2_bits(terms: int) -> int:
+    """About 16 bits a term, from 128 kB to 16 MB."""
+    return min(max((16 * max(terms, 1) - 1).bit_length(), 20), 27)
 
-    def __init__(self, log2_bits: int = 23) -> None:
-        self.mask, self.bits = (1 << log2_bits) - 1, bytearray(1 << (log2_bits - 3))
 
-    def _places(self, t: str) -> tuple[int, int]:
-        h = xxhash.xxh64_intdigest(t.encode())
-        return h & self.mask, (h >> 32) & self.mask
+class Bloom:
+    """Bits that say which terms can't be candidates; a term has two places by XXH64 with seed 42, as Spark hashes."""
 
-    def add(self, t: str) -> None:
-        for p in self._places(t):
-            self.bits[p >> 3] |= 1 << (p & 7)
+    def __init__(self, log2_bits: int, words: list[tuple[int, int]]) -> None:
+        self.mask, self.bits = (1 << log2_bits) - 1, bytearray(1 << (log2_bits - 3))
+        for w, x in words:
+            self.bits[8 * w : 8 * w + 8] = (x & (1 << 64) - 1).to_bytes(8, "little")
 
     def __contains__(self, t: str) -> bool:
-        a, b = self._places(t)
+        h = xxhash.xxh64_intdigest(t.encode(), 42)
+        a, b = h & self.mask, h >> 32 & self.mask
         return bool(self.bits[a >> 3] >> (a & 7) & 1 and self.bits[b >> 3] >> (b & 7) & 1)

@@ -229,6 +229,15 @@ def test_pii_patterns_match_the_plain_ones():
     assert pii_kernel.base_spans("a" * 300_000 + "@" + "1." * 50_000) is not None  # linear
 
 
+def test_candidate_filter(spark):
+    """Every term passes, of others few; the bits come from tasks and their number follows the terms'."""
+    terms = [f"wört{k}" for k in range(5000)] + ["", "漢"]
+    bloom = pii.candidate_filter(spark.createDataFrame([(t,) for t in terms], "_t string").repartition(5))
+    assert all(t in bloom for t in terms) and sum(f"other{k}" in bloom for k in range(20_000)) < 200
+    assert "x" not in pii.candidate_filter(spark.createDataFrame([], "_t string"))
+    assert [pii_kernel.log2_bits(n) for n in (0, 1, 65_537, 10**12)] == [20, 20, 21, 27]
+
+
 def test_terms_that_give_an_entity_away_are_cut(docs_of, dir_of, spark):
     fill = ["the of and in to it as on by at".split()[k % 10] for k in range(10)]
     who = "ann@corp.example"
