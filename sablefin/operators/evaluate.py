@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from sablefin.operators.ordering import kth, upto
+from sablefin.operators.quantile import _cell
 from sablefin.session import settle
 
 SLICES = 64
@@ -56,6 +57,56 @@ def average_precision(df: DataFrame, score: str = "score", y: str = "y") -> Data
     return r.select((F.col("s") / F.nullif(F.col("pos"), F.lit(0))).alias("average_precision"))
 
 
+def by_slice(df: DataFrame, by: list[str], score: str = "score", y: str = "y", least: int = 0) -> DataFrame:
+    """(``by``, rows, positives, roc_auc, average_precision): rank metrics of every group in one pass.
+
+    Rows fold to a row per group and distinct score; running sums are taken within cells of scores and over cells, so no task
+    holds a whole group. Metrics are null in groups of fewer than ``least`` positives or of one class; null scores don't count.
+    """
+    per = df.where(F.col(score).isNotNull()).groupBy(*by, F.col(score).cast("double").alias("_v")).agg(F.count(F.lit(1)).alias("n"), F.sum(F.col(y).cast("long")).alias("p"))
+    per = settle(per.withColumn("_c", _cell(F.col("_v"))), "slice-steps")
+    inside = Window.partitionBy(*by, "_c").orderBy(F.desc("_v")).rowsBetween(Window.unboundedPreceding, 0)
+    cells = per.groupBy(*(F.col(c).alias(f"_{c}") for c in by), F.col("_c").alias("_k")).agg(F.sum("n").alias("sn"), F.sum("p").alias("sp"))
+    group = Window.partitionBy(*(f"_{c}" for c in by))
+    above = group.orderBy(F.desc("_k")).rowsBetween(Window.unboundedPreceding, -1)
+    cells = cells.select("*", *(F.coalesce(F.sum(c).over(above), F.lit(0)).alias(f"b{c}") for c in ("sn", "sp")), F.sum("sn").over(group).alias("_all"))
+    on = F.col("_c") == F.col("_k")
+    for c in by:
+        on = on & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    d = per.join(cells, on).select(*by, "n", "p", (F.sum("n").over(inside) + F.col("bsn")).alias("cn"), (F.sum("p").over(inside) + F.col("bsp")).alias("cp"), "_all")
+    below = F.col("_all") - F.col("cn")
+    r = d.groupBy(*by).agg(
+        F.sum("n").alias("rows"), F.sum("p").alias("positives"), F.sum(F.col("p") * (below + (F.col("n") + 1) / 2)).alias("_ranks"), F.sum(F.col("p") * F.col("cp") / F.col("cn")).alias("_steps")
+    )
+    pos, neg = F.col("positives"), F.col("rows") - F.col("positives")
+    enough = (pos >= max(least, 1)) & (neg > 0)
+    return r.select(
+        *by, "rows", "positives", F.when(enough, (F.col("_ranks") - pos * (pos + 1) / 2) / (pos * neg)).alias("roc_auc"), F.when(enough, F.col("_steps") / pos).alias("average_precision")
+    )
+
+
+#: Fewest positives on which a slice of the latest months is judged.
+LEAST_POSITIVES = 5
+
+
+def out_of_time_report(scores: DataFrame, months: int, least: int = LEAST_POSITIVES) -> DataFrame:
+    """(model, slice, rows, positives, roc_auc, average_precision, best) of ``scores``(model, period, score, y).
+
+    Slices are 'test', all rows, and 'out_of_time', those of the last ``months`` periods of all; both come from one set of running
+    sums. ``best`` marks the model of the highest average precision on the test slice, the first by name on ties. Metrics of the latest
+    months are null with fewer than ``least`` positives or where all are.
+    """
+    last = scores.select("period").distinct().orderBy(F.desc("period")).limit(months)  # ``months`` rows
+    d = scores.join(F.broadcast(last.select(F.col("period").alias("_p"))), F.col("period") == F.col("_p"), "left")
+    d = d.withColumn("slice", F.explode(F.when(F.col("_p").isNotNull(), F.array(F.lit("test"), F.lit("out_of_time"))).otherwise(F.array(F.lit("test")))))
+    r = settle(by_slice(d, ["model", "slice"]), "slices")
+    thin = (F.col("slice") == "out_of_time") & (F.col("positives") < least)
+    r = r.select("model", "slice", "rows", "positives", *(F.when(~thin, F.col(c)).alias(c) for c in ("roc_auc", "average_precision")))
+    # a row per model
+    top = r.where("slice = 'test'").orderBy(F.desc_nulls_last("average_precision"), "model").limit(1).select(F.col("model").alias("_best"))
+    return r.join(F.broadcast(top), F.col("model") == F.col("_best"), "left").select(*r.columns, F.col("_best").isNotNull().alias("best"))
+
+
 def _point(rows: DataFrame, positives: int) -> DataFrame:
     """(threshold, alert_volume, tp, fp, recall, precision, fp_ratio) of a prefix of the ranking."""
     tp, n = F.coalesce(F.sum(F.col("y").cast("long")), F.lit(0)), F.count(F.lit(1))

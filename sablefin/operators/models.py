@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import pickle
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -13,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sablefin.config import Monitoring
+from sablefin.session import ship
 
 
 class LeakageError(ValueError):
@@ -76,17 +79,70 @@ def _depths(tree: tuple, x: np.ndarray, at: int = 0) -> np.ndarray:
     return out
 
 
-def isolation_scores(train: DataFrame, test: DataFrame, features: list[str], key: list[str], trees: int = 200, sample: int = 4096, seed: int = 7) -> DataFrame:
-    """``test``(key, y) with score 2^(-E[h]/c(n)) (Liu et al. 2008), label-free. Grown on the driver on a sample of
-    at most ``sample`` training rows chosen by hash; scoring is distributed."""
-    # a share of the hash range that holds about ``sample`` rows: a sort would send every task's best to the driver
-    share = min(1.0, sample / max(train.count(), 1))
-    got = train.where(F.pmod(F.xxhash64(*key, F.lit(seed)), F.lit(1 << 30)) < int(share * (1 << 30))).select(*features).limit(sample).toPandas().to_numpy(float)
-    rng = np.random.default_rng(seed)
-    size = min(256, len(got))
-    limit = int(np.ceil(np.log2(max(size, 2))))
-    forest = [_grow(got[rng.choice(len(got), size, replace=False)], rng, 0, limit) for _ in range(trees)] if len(got) else []
-    held = train.sparkSession.sparkContext.broadcast((forest, float(_unlucky(size)) or 1.0))  # of fixed size: trees x 256 rows
+SAMPLE = 256
+#: How many rows a tree's candidates are expected to be, in samples; that fewer than one sample come has a chance of e^-200.
+_SPARE = 4
+
+
+def tree_hashes(rows: np.ndarray, tree: int, seed: int) -> np.ndarray:
+    """A hash of each row's hash for one tree, as unsigned 64 bits: a sample's members are those with the least."""
+    with np.errstate(over="ignore"):
+        z = rows.astype(np.uint64) ^ (np.uint64(tree + 1) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(seed))
+        z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        return z ^ (z >> np.uint64(31))
+
+
+def grow_tree(x: np.ndarray, tree: int, seed: int) -> tuple:
+    """The isolation tree of a sample, its rows in the order of their hashes."""
+    return _grow(x, np.random.default_rng([seed, tree]), 0, int(np.ceil(np.log2(max(len(x), 2)))))
+
+
+def isolation_forest(train: DataFrame, features: list[str], key: list[str], trees: int = 200, sample: int = SAMPLE, seed: int = 7) -> list[tuple]:
+    """Isolation trees, each on its own ``sample`` rows of all of ``train``, fewer if it has fewer.
+
+    A tree's sample are the rows with its least hashes of the key. Tasks hash every row for every tree and keep those under a threshold that
+    leaves a few samples' worth in all; these are shuffled by tree, and each tree is grown by one task from bounded rows. The
+    driver holds the trees, of fixed size, and no row.
+    """
+    ship(train.sparkSession)
+    n = train.count()
+    if not n:
+        return []
+    share = min(1.0, _SPARE * sample / n)
+    most = np.uint64(min(int(share * 2.0**64), 2**64 - 1))
+    names = ["_tree", "_mark", *features]
+
+    def chosen(batches):
+        for b in batches:
+            h = b.column("_h").to_numpy()
+            x = [b.column(f) for f in features]
+            for t in range(trees):
+                mark = tree_hashes(h, t, seed)
+                at = np.flatnonzero(mark <= most)
+                if len(at):
+                    take = pa.array(at)
+                    # signed, in the same order
+                    order = pa.array((mark[at] ^ np.uint64(1 << 63)).view(np.int64))
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), t, np.int32)), order, *(c.take(take) for c in x)], names=names)
+
+    def grown(g: pd.DataFrame) -> pd.DataFrame:
+        some = g.sort_values("_mark", kind="stable").head(sample)
+        t = int(g["_tree"].iat[0])
+        return pd.DataFrame({"tree": [t], "size": [len(some)], "body": [pickle.dumps(grow_tree(some[features].to_numpy(float), t, seed))]})
+
+    rows = train.select(F.xxhash64(*key, F.lit(seed)).alias("_h"), *(F.col(f).cast("double").alias(f) for f in features))
+    schema = "_tree int, _mark long, " + ", ".join(f"`{f}` double" for f in features)
+    got = rows.mapInArrow(chosen, schema).groupBy("_tree").applyInPandas(grown, "tree int, size int, body binary")
+    return [(r["size"], pickle.loads(bytes(r["body"]))) for r in sorted(got.collect(), key=lambda r: r["tree"])]  # made above, of fixed size
+
+
+def isolation_scores(train: DataFrame, test: DataFrame, features: list[str], key: list[str], trees: int = 200, sample: int = SAMPLE, seed: int = 7) -> DataFrame:
+    """``test``(key, y) with score 2^(-E[h]/c(n)) (Liu et al. 2008), label-free, of ``isolation_forest``. Scoring is distributed. Without
+    training rows every score is 1."""
+    forest = isolation_forest(train, features, key, trees, sample, seed)
+    norm = float(_unlucky(forest[0][0])) if forest else 1.0
+    held = train.sparkSession.sparkContext.broadcast(([t for _, t in forest], norm or 1.0))  # of fixed size: trees x sample nodes
 
     def run(parts):
         forest, norm = held.value

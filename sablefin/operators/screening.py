@@ -20,7 +20,7 @@ from sablefin.config import SCREENING_GRID, Screening
 from sablefin.functions import metaphone, names, similarity
 from sablefin.session import settle, ship
 
-#: Digits in which scores are compared, with each other and with thresholds: beyond them, the order of float operations decides.
+#: Digits in which scores that rank are told apart: beyond them, the order of float operations decides.
 TIE = 9
 NAME_TYPE = (
     "latin string, normalized string, tokens array<string>, sorted_key string, initials string, script string, is_organization boolean, "
@@ -156,7 +156,7 @@ def likely(subs: DataFrame, refs: DataFrame, cfg: Screening) -> DataFrame:
     right = _keyed(refs.select("n", F.col("n.normalized").alias("r_name"), F.col("n.sorted_key").alias("r_key")), big, "r_name", "r_key").distinct()
     pairs = left.join(right, "key").select("s_name", "s_key", "r_name", "r_key").distinct()
     pre = F.lit(1.0) if cfg.prefilter <= 0 else _jw(F.col("s_key"), F.col("r_key"))
-    return pairs.select("s_name", "r_name", pre.alias("pre")).where(F.round("pre", TIE) >= cfg.prefilter)
+    return pairs.select("s_name", "r_name", pre.alias("pre")).where(F.col("pre") >= cfg.prefilter)
 
 
 def shortlist(pairs: DataFrame, refs: DataFrame, cfg: Screening) -> DataFrame:
@@ -203,7 +203,7 @@ def _year(c: Column) -> Column:
 def corroborated(df: DataFrame, cfg: Screening) -> DataFrame:
     """name_score, corroboration_delta, final_score, decision, corroboration (map label -> delta).
 
-    Absent data never counts. A strong name can't fall under the floor. Decisions are taken before scores are rounded for output.
+    Absent data never counts. A strong name can't fall under the floor. Decisions are taken before rounding.
     """
     s = F.col("sig")
     name = cfg.jaro_winkler * s["jw"] + cfg.token_set * s["token_set"] + cfg.phonetic * s["phonetic"] + cfg.initials * s["initials"]
@@ -223,11 +223,11 @@ def corroborated(df: DataFrame, cfg: Screening) -> DataFrame:
         delta = delta + F.when(test, v).otherwise(0.0)
     d = df.withColumn("name_score", name).withColumn("corroboration_delta", delta)
     plain = F.least(F.lit(1.0), F.greatest(F.lit(0.0), F.col("name_score") + F.col("corroboration_delta")))
-    final = F.when(F.round("name_score", TIE) >= cfg.strong_name_floor, F.greatest(plain, F.lit(cfg.strong_name_floor_score))).otherwise(plain)
+    final = F.when(F.col("name_score") >= cfg.strong_name_floor, F.greatest(plain, F.lit(cfg.strong_name_floor_score))).otherwise(plain)
     applied = F.map_filter(F.create_map(*(x for k, (t, v) in rules.items() for x in (F.lit(k), F.when(t, F.lit(v))))), lambda k, v: v.isNotNull())
     lift = F.map_filter(F.create_map(F.lit("strong_name_floor"), final - plain), lambda k, v: v > 0)
     d = d.withColumn("final_score", final).withColumn("corroboration", F.map_concat(applied, lift))
-    return d.withColumn("decision", F.when(F.round("final_score", TIE) >= cfg.escalate, "ESCALATE").when(F.round("final_score", TIE) >= cfg.review, "REVIEW").otherwise("DISCARD"))
+    return d.withColumn("decision", F.when(F.col("final_score") >= cfg.escalate, "ESCALATE").when(F.col("final_score") >= cfg.review, "REVIEW").otherwise("DISCARD"))
 
 
 ALERT = (
@@ -247,7 +247,7 @@ def screen_many(people: DataFrame, watchlist: DataFrame, cfg: Screening | None =
     short = short.join(refs.withColumnRenamed("n", "nr"), ["uid", "pos"])
     people = subs.withColumn("s_name", F.col("n.normalized")).withColumnRenamed("n", "ns")
     scored = corroborated(short.join(people, "s_name"), cfg)
-    scored = scored.where(F.round("final_score", TIE) >= min_score)
+    scored = scored.where(F.col("final_score") >= min_score)
     best = Window.partitionBy("subject_id", "uid").orderBy(F.desc(F.round("final_score", TIE)), F.when(F.col("cut"), -F.round("pre", TIE)), "pos")
     one = scored.withColumn("_b", F.row_number().over(best)).where("_b = 1")
     top = one.withColumn("_t", F.row_number().over(Window.partitionBy("subject_id").orderBy(F.desc(F.round("final_score", TIE)), "uid"))).where(F.col("_t") <= top_n)

@@ -94,11 +94,16 @@ def run_batch(spark: SparkSession, out: Path, n_watch: int = 200, n_customers: i
     boosted = boosted or {"boosted_shallow": models.SHALLOW, "boosted_deep": models.DEEP}
     scores = {name: models.boosted_scores(learn, test, cols, conf, key)[0] for name, conf in boosted.items()}
     scores["isolation"] = models.isolation_scores(learn, test, cols, key, trees=trees)
-    metrics["models"] = {}
+    metrics["models"], every = {}, None
     for name, s in scores.items():
         s = settle(s, f"scores-{name}")
         auc, ap = evaluate.roc_auc(s).first()[0], evaluate.average_precision(s).first()[0]
         metrics["models"][name] = {"roc_auc": auc, "average_precision": ap, "at_budget": evaluate.at_budget(s, mon.alert_budget, key).first().asDict()}
+        each = s.select(F.lit(name).alias("model"), "period", "score", "y")
+        every = each if every is None else every.unionByName(each)
+    report = {(r["model"], r["slice"]): r for r in evaluate.out_of_time_report(every, mon.out_of_time_months).collect()}  # two rows a model
+    metrics["best_model"] = next(m for (m, k), r in sorted(report.items()) if r["best"])
+    metrics["out_of_time"] = report[metrics["best_model"], "out_of_time"].asDict()
     stage("models", t)
 
     t = time.perf_counter()

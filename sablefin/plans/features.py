@@ -179,6 +179,31 @@ _PCT = "(rank() OVER (ORDER BY score) + (count(*) OVER (PARTITION BY score) - 1)
 _add("pct_rank_average", lambda s, d: evaluate.percentile_rank(scored(s, d), "score").select("customer_id", "period", F.round("pct_rank", 9).alias("pct_rank")), f"{_SC} SELECT customer_id, period, round({_PCT}, 9) AS pct_rank FROM sc")
 
 
+def model_scores(spark: SparkSession, d: str) -> DataFrame:
+    """(model, period, score, y): three deterministic scores of every line cell."""
+    c = scored(spark, d).join(_line_cells(spark, d).select("customer_id", "period", "total_amount"), ["customer_id", "period"])
+    three = {"count_and_amount": F.col("score"), "amount": F.floor(F.col("total_amount") / 500).cast("double"), "customer": (F.col("customer_id") * 31 % 97).cast("double")}
+    each = F.explode(F.array(*(F.struct(F.lit(m).alias("model"), x.alias("score")) for m, x in three.items())))
+    return c.select("period", "y", each.alias("e")).select("e.model", "period", "e.score", "y")
+
+
+def _report(df: DataFrame) -> DataFrame:
+    return df.select("model", "slice", "rows", "positives", F.round("roc_auc", 9).alias("roc_auc"), F.round("average_precision", 9).alias("average_precision"), "best")
+
+
+_MODELS = f"""{_SC}, cells AS (SELECT sc.*, floor(total_amount / 500) AS amount FROM sc JOIN ({_LC}) USING (customer_id, period)),
+ms AS (SELECT 'count_and_amount' AS model, period, score, y FROM cells UNION ALL SELECT 'amount', period, amount, y FROM cells UNION ALL SELECT 'customer', period, customer_id * 31 % 97, y FROM cells),
+sl AS MATERIALIZED (SELECT model, 'test' AS slice, score, y FROM ms UNION ALL SELECT model, 'out_of_time', score, y FROM ms WHERE period IN (SELECT DISTINCT period FROM ms ORDER BY 1 DESC LIMIT {{months}})),
+au AS (SELECT model, slice, count(*) AS rows, count(*) FILTER (y) AS positives, (sum(r) FILTER (y) - positives * (positives + 1) / 2.0) / (positives * (rows - positives)) AS auc FROM (
+  SELECT *, rank() OVER (PARTITION BY model, slice ORDER BY score) + (count(*) OVER (PARTITION BY model, slice, score) - 1) / 2.0 AS r FROM sl) GROUP BY 1, 2),
+ap AS (SELECT model, slice, sum(p * cp / cn) / sum(p) AS ap FROM (SELECT *, sum(p) OVER w AS cp, sum(n) OVER w AS cn FROM (SELECT model, slice, score, count(*) AS n, count(*) FILTER (y) AS p FROM sl GROUP BY ALL)
+  WINDOW w AS (PARTITION BY model, slice ORDER BY score DESC)) GROUP BY 1, 2)
+SELECT model, slice, rows, positives, CASE WHEN slice = 'test' OR positives >= {{least}} THEN round(auc, 9) END AS roc_auc, CASE WHEN slice = 'test' OR positives >= {{least}} THEN round(ap, 9) END AS average_precision,
+  model = (SELECT model FROM ap WHERE slice = 'test' ORDER BY ap DESC, model LIMIT 1) AS best FROM au JOIN ap USING (model, slice)"""
+_add("out_of_time_report", lambda s, d: _report(evaluate.out_of_time_report(model_scores(s, d), 3)), _MODELS.format(months=3, least=5))
+_add("out_of_time_thin", lambda s, d: _report(evaluate.out_of_time_report(model_scores(s, d), 1, 10**9)), _MODELS.format(months=1, least=10**9))
+
+
 def separability(spark: SparkSession, d: str) -> DataFrame:
     k = scored(spark, d).withColumn("kind", F.when(F.col("y"), "anomaly").when(F.col("customer_id") % 5 == 0, "near_miss").otherwise("background"))
     out = evaluate.separability(k)

@@ -68,7 +68,7 @@ _HAS = "coalesce({c}, '') <> ''"
 _BOTH = " AND ".join
 _ALERTS = f"""{_KEYED},
 pairs AS (SELECT DISTINCT s.name AS s_name, s.t AS st, r.r_name, r.t AS rt FROM sk s JOIN rk r USING (key)),
-near AS (SELECT *, {_JW.format(a="array_to_string(st, ' ')", b="array_to_string(rt, ' ')")} AS pre, {_JW.format(a="s_name", b="r_name")} AS direct FROM pairs WHERE round(pre, 9) >= {CFG.prefilter}),
+near AS (SELECT *, {_JW.format(a="array_to_string(st, ' ')", b="array_to_string(rt, ' ')")} AS pre, {_JW.format(a="s_name", b="r_name")} AS direct FROM pairs WHERE pre >= {CFG.prefilter}),
 short AS MATERIALIZED (SELECT s_name, r_name, uid, pos, pre, greatest(direct, pre) AS name_score, pre > direct + 1e-9 AS order_swapped, row_number() OVER (PARTITION BY s_name ORDER BY round(pre, 9) DESC, uid, pos) AS k,
   count(*) OVER (PARTITION BY s_name) > {CFG.shortlist} AS cut FROM near JOIN refs USING (r_name) QUALIFY k <= {CFG.shortlist}),
 tested AS (SELECT s.*, p.subject_id, w.name AS watchlist_name, program, p.dob <> '' AND w.dob <> '' AS both_dob, p.dob = w.dob AS same_dob, p.dob[1:4] = w.dob[1:4] AS same_year,
@@ -77,9 +77,9 @@ signs AS (SELECT *, coalesce(both_dob AND same_dob, false) AS d1, coalesce(both_
   coalesce(same_nat, false) AS n1, coalesce(other_nat, false) AS n2, coalesce(same_id, false) AS i1 FROM tested),
 scored AS (SELECT *, CASE WHEN d1 THEN {CFG.dob_exact} ELSE 0::DOUBLE END + CASE WHEN d2 THEN {CFG.dob_year_only} ELSE 0 END + CASE WHEN d3 THEN {CFG.dob_mismatch} ELSE 0 END
   + CASE WHEN n1 THEN {CFG.nationality_match} ELSE 0 END + CASE WHEN n2 THEN {CFG.nationality_mismatch} ELSE 0 END + CASE WHEN i1 THEN {CFG.id_exact} ELSE 0 END AS delta, least(1, greatest(0, name_score + delta)) AS plain,
-  CASE WHEN round(name_score, 9) >= {CFG.strong_name_floor} THEN greatest(plain, {CFG.strong_name_floor_score}) ELSE plain END AS final_score FROM signs),
-one AS (SELECT * FROM scored WHERE round(final_score, 9) >= 0.70 QUALIFY row_number() OVER (PARTITION BY subject_id, uid ORDER BY round(final_score, 9) DESC, CASE WHEN cut THEN -round(pre, 9) END NULLS FIRST, pos) = 1),
-alerts AS MATERIALIZED (SELECT *, CASE WHEN round(final_score, 9) >= {CFG.escalate} THEN 'ESCALATE' WHEN round(final_score, 9) >= {CFG.review} THEN 'REVIEW' ELSE 'DISCARD' END AS decision FROM one
+  CASE WHEN name_score >= {CFG.strong_name_floor} THEN greatest(plain, {CFG.strong_name_floor_score}) ELSE plain END AS final_score FROM signs),
+one AS (SELECT * FROM scored WHERE final_score >= 0.70 QUALIFY row_number() OVER (PARTITION BY subject_id, uid ORDER BY round(final_score, 9) DESC, CASE WHEN cut THEN -round(pre, 9) END NULLS FIRST, pos) = 1),
+alerts AS MATERIALIZED (SELECT *, CASE WHEN final_score >= {CFG.escalate} THEN 'ESCALATE' WHEN final_score >= {CFG.review} THEN 'REVIEW' ELSE 'DISCARD' END AS decision FROM one
   QUALIFY row_number() OVER (PARTITION BY subject_id ORDER BY round(final_score, 9) DESC, uid) <= 3)"""
 
 

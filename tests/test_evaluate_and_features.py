@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -121,3 +122,39 @@ def test_boosting_learns_and_ranks_features(spark):
     df = spark.createDataFrame(rows, "id long, a double, b double, y boolean")
     s, imp = models.boosted_scores(df.where("id % 2 = 0"), df.where("id % 2 = 1"), ["a", "b"], models.Boosting(5, 2, 0.3), ["id"])
     assert ev.roc_auc(s).first()[0] > 0.95 and imp[0][0] == "a"
+
+
+def test_forest_is_the_plain_one_on_the_same_samples(spark):
+    """Every tree's sample is the least hashed rows of all, not of a few thousand."""
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(3000, 3))
+    df = spark.createDataFrame([(k, bool(k % 2), *map(float, r)) for k, r in enumerate(x)], "id long, y boolean, a double, b double, c double").repartition(6)
+    h = {r["id"]: r["h"] for r in df.select("id", F.xxhash64("id", F.lit(7)).alias("h")).collect()}
+    hashes = np.array([h[k] for k in range(len(x))])
+    forest = models.isolation_forest(df, ["a", "b", "c"], ["id"], trees=12, sample=64)
+    plain = [models.grow_tree(x[np.argsort(models.tree_hashes(hashes, t, 7), kind="stable")[:64]], t, 7) for t in range(12)]
+    assert forest == [(64, t) for t in plain]
+    got = {r["id"]: r["score"] for r in models.isolation_scores(df, df, ["a", "b", "c"], ["id"], trees=12, sample=64).collect()}
+    depth = np.mean([models._depths(t, x) for t in plain], axis=0)
+    want = 2.0 ** (-depth / float(models._unlucky(64)))
+    assert max(abs(got[k] - want[k]) for k in got) < 1e-12
+    few = models.isolation_forest(df.limit(10), ["a", "b", "c"], ["id"], trees=3, sample=64)
+    assert [n for n, _ in few] == [10] * 3
+    assert models.isolation_forest(df.limit(0), ["a"], ["id"]) == [] and models.isolation_scores(df.limit(0), df.limit(2), ["a"], ["id"]).count() == 2
+
+
+def test_slices_equal_separate_runs(spark):
+    rng = np.random.default_rng(6)
+    rows = [(m, f"2024-{1 + k % 6:02d}", float(round(rng.normal() + (k % 7 == 0), 1)), k % 7 == 0) for m in ("p", "q") for k in range(600)]
+    df = spark.createDataFrame(rows, "model string, period string, score double, y boolean")
+    got = {(r["model"], r["slice"]): r for r in ev.out_of_time_report(df, 2).collect()}
+    for m in ("p", "q"):
+        for name, some in (("test", df), ("out_of_time", df.where("period >= '2024-05'"))):
+            one = some.where(F.col("model") == m)
+            r = got[m, name]
+            assert r["roc_auc"] == pytest.approx(ev.roc_auc(one).first()[0], abs=1e-12) and r["average_precision"] == pytest.approx(ev.average_precision(one).first()[0], abs=1e-12)
+            assert (r["rows"], r["positives"]) == (one.count(), one.where("y").count())
+    assert sum(r["best"] for r in got.values()) == 2 and len({m for (m, _), r in got.items() if r["best"]}) == 1
+    thin = {(r["model"], r["slice"]): r for r in ev.out_of_time_report(df, 2, least=10**6).collect()}
+    assert thin["p", "out_of_time"]["roc_auc"] is None and thin["p", "test"]["roc_auc"] is not None
+    assert ev.out_of_time_report(df.where("y"), 2).where("roc_auc is not null").count() == 0 and ev.out_of_time_report(df.limit(0), 2).count() == 0
