@@ -47,17 +47,22 @@ def structuring(tx: DataFrame, cust: DataFrame, risk: DataFrame, p: dict[str, fl
     """Cash credits just under the reporting limit: pairs of an anchor and itself or a later one less
     than ``window_days`` calendar days on, by the anchor's month.
 
-    No self-join: the pairs of an anchor are those up to its last day in reach minus those strictly
-    before it, two growing frames over one shuffle by customer.
+    No self-join: the pairs of a day's anchors are its rows times those of the days in reach, less the pairs within the day
+    that run backwards. Rows meet by customer and day, so one customer's rows are spread over as many tasks as they have days;
+    only a row a day is windowed by customer.
     """
     banded = tx.where((F.col("channel") == "CASH") & (F.col("direction") == "CREDIT") & F.col("amount").between(p["lower_bound"], p["upper_bound"]))
     banded = banded.select("customer_id", period(), money(F.col("amount")).alias("amt"), _micros().alias("us"), _day().alias("day"))
-    reach = Window.partitionBy("customer_id").orderBy("day").rangeBetween(Window.unboundedPreceding, int(p["window_days"]) - 1)
-    past = Window.partitionBy("customer_id").orderBy("us").rangeBetween(Window.unboundedPreceding, -1)
+    past = Window.partitionBy("customer_id", "day").orderBy("us").rangeBetween(Window.unboundedPreceding, -1)
     zero = F.lit(0).cast("decimal(18,2)")
-    pairs = banded.select(
-        "customer_id", "period", (F.count(F.lit(1)).over(reach) - F.count(F.lit(1)).over(past)).alias("n"),
-        (F.sum("amt").over(reach) - F.coalesce(F.sum("amt").over(past), zero)).alias("s"),
+    inside = banded.select("customer_id", "period", "day", "amt", F.count(F.lit(1)).over(past).alias("_n"), F.coalesce(F.sum("amt").over(past), zero).alias("_s"))
+    days = inside.groupBy("customer_id", "day").agg(
+        F.first("period").alias("period"), F.count(F.lit(1)).alias("k"), F.sum("amt").alias("a"), F.sum("_n").alias("_n"), F.sum("_s").cast("decimal(28,2)").alias("_s")
+    )
+    reach = Window.partitionBy("customer_id").orderBy("day").rangeBetween(0, int(p["window_days"]) - 1)  # a row a day: short frames
+    pairs = days.select(
+        "customer_id", "period", (F.col("k") * F.sum("k").over(reach) - F.col("_n")).alias("n"),
+        (F.col("k").cast("decimal(10,0)") * F.sum("a").over(reach).cast("decimal(26,2)") - F.col("_s")).alias("s"),
     )
     out = pairs.groupBy("customer_id", "period").agg(F.sum("n").alias("n"), F.sum("s").cast("double").alias("s"))
     return out.select("customer_id", "period", F.col("n").cast("double").alias("metric_value"), F.col("s").alias("alert_amount"), F.col("n").alias("txn_count"))
@@ -77,15 +82,22 @@ def velocity(tx: DataFrame, cust: DataFrame, risk: DataFrame, p: dict[str, float
     debits after each credit, capped at the credit.
 
     Equal credits at one instant count once, with the debits of each. No range join: debits in the
-    hold window are a difference of two growing frames.
+    hold window are a difference of two growing frames. Rows meet by customer and stretch of two holds; debits of a stretch's first
+    hold are seen from the stretch before, too, so one customer's rows are spread over as many tasks as there are stretches.
     """
     hold = int(p["max_hold_hours"]) * 3_600_000_000
+    width = max(2 * hold, 1)
     debit = F.when(F.col("direction") == "DEBIT", money(F.col("amount"))).otherwise(F.lit(0).cast("decimal(18,2)"))
-    base = tx.select("customer_id", period(), "txn_ts", "amount", "direction", debit.alias("debit"), _micros().alias("us"))
-    w = Window.partitionBy("customer_id").orderBy("us")
+    credit = (F.col("direction") == "CREDIT") & (F.col("amount") >= p["min_amount"])
+    base = tx.where(credit | (F.col("direction") == "DEBIT")).select("customer_id", period(), "txn_ts", "amount", credit.alias("_credit"), debit.alias("debit"), _micros().alias("us"))
+    into = F.expr(f"pmod(us, {width})")
+    own = F.expr(f"(us - pmod(us, {width})) div {width}")
+    seen = F.explode(F.when(~F.col("_credit") & (into <= hold), F.array(own, own - 1)).otherwise(F.array(own))).alias("stretch")
+    w = Window.partitionBy("customer_id", "stretch").orderBy("us")
     inside = F.sum("debit").over(w.rangeBetween(Window.unboundedPreceding, hold)) - F.sum("debit").over(w.rangeBetween(Window.unboundedPreceding, 0))
-    credits = base.withColumn("out", inside).where((F.col("direction") == "CREDIT") & (F.col("amount") >= p["min_amount"]))
-    one = credits.groupBy("customer_id", "period", "txn_ts", "amount").agg(F.sum("out").alias("out"))
+    credits = base.select("*", seen).withColumn("out", inside).where("_credit")
+    # the stretch follows from the instant: grouping by it, too, needs no further shuffle
+    one = credits.groupBy("customer_id", "stretch", "period", "txn_ts", "amount").agg(F.sum("out").alias("out"))
     month = one.groupBy("customer_id", "period").agg(
         total(F.col("amount")).alias("credited"), total(F.least(F.col("out").cast("decimal(18,2)"), money(F.col("amount")))).alias("passed"), F.count(F.lit(1)).alias("txn_count")
     )
@@ -118,11 +130,13 @@ def round_dollar(tx: DataFrame, cust: DataFrame, risk: DataFrame, p: dict[str, f
 def dormant(tx: DataFrame, cust: DataFrame, risk: DataFrame, p: dict[str, float]) -> DataFrame:
     """Months with a transaction after ``dormancy_days`` of silence; all of the month's money counts.
 
-    The join of marked months back to their transactions is a maximum in the month's own aggregate.
+    Silence is counted in days, so transactions fold to a row a customer and day before days are compared: no task sorts all of a
+    customer's transactions. The join of marked months back to their transactions is a maximum in the month's own aggregate.
     """
-    gap = F.datediff("txn_ts", F.lag("txn_ts").over(Window.partitionBy("customer_id").orderBy("txn_ts")))
-    g = tx.select("customer_id", period(), "amount", gap.alias("gap"))
-    out = g.groupBy("customer_id", "period").agg(total(F.col("amount")).alias("s"), F.count(F.lit(1)).alias("txn_count"), F.max("gap").alias("gap"))
+    days = tx.groupBy("customer_id", F.to_date("txn_ts").alias("day")).agg(F.sum(money(F.col("amount"))).alias("s"), F.count(F.lit(1)).alias("k"))
+    gap = F.datediff("day", F.lag("day").over(Window.partitionBy("customer_id").orderBy("day")))
+    g = days.select("customer_id", period("day"), "s", "k", gap.alias("gap"))
+    out = g.groupBy("customer_id", "period").agg(F.sum("s").cast("double").alias("s"), F.sum("k").alias("txn_count"), F.max("gap").alias("gap"))
     out = out.where((F.col("gap") >= p["dormancy_days"]) & (F.col("txn_count") >= p["min_reactivation_txns"]))
     return out.select("customer_id", "period", F.col("s").alias("metric_value"), F.col("s").alias("alert_amount"), "txn_count")
 

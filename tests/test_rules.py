@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -91,6 +93,26 @@ def test_window_form_equals_self_join(spark, sf):
         assert a == b and a
 
 
+def test_spread_forms_equal_the_joins_for_one_hot_customer(spark, tx_of, cust, risk):
+    """Two thirds of all rows are one customer's: within hours, days and at equal instants, before 1970 as well."""
+    rng = random.Random(8)
+    rows = []
+    for k in range(900):
+        c = 1 if k % 3 else rng.choice((2, 3))
+        t = dt.datetime(1969 if k % 5 == 0 else 2024, 12 if k % 5 == 0 else 1, 28) + dt.timedelta(hours=rng.randrange(200), minutes=rng.choice((0, 0, 7, 59)), microseconds=rng.choice((0, 1)))
+        rows.append((c, t, rng.choice((100, 5000.5, 8200, 9000.25, 9999)), rng.choice(("CASH", "WIRE")), rng.choice(("CREDIT", "DEBIT"))))
+    tx = tx_of(rows)
+    got = lambda d: sorted(map(tuple, d.collect()))
+    for days in (1.0, 4.0, 10.0):
+        p = scenarios()["R01_STRUCTURING"].with_param("window_days", days).params
+        assert got(rules.structuring(tx, cust, risk, p)) == got(rules.structuring_selfjoin(tx, p))
+    for hours in (1.0, 24.0, 72.0):
+        p = scenarios()["R02_VELOCITY"].with_param("max_hold_hours", hours).params
+        assert got(rules.velocity(tx, cust, risk, p)) == got(rules.velocity_join(tx, p))
+    plan = rules.velocity(tx, cust, risk, scenarios()["R02_VELOCITY"].params)._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"hashpartitioning\(customer_id#\d+L, stretch", plan)
+
+
 @pytest.mark.parametrize("rule", sorted(tuned()))
 def test_sweep_equals_running_each_setting(spark, sf, rule):
     s, f, lab = tuned()[rule], feed(spark, sf, "events"), cells(spark, sf)
