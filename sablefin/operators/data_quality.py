@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sablefin.session import settle
+
 from sablefin.config import DOMAINS
 
 # Control ids, dimensions, severities.
@@ -140,6 +142,17 @@ def validate(df: DataFrame, specs: list[ColumnSpec], key: list[str], show: int =
         raise ValueError("; ".join(bad[:show]) + (f" and {len(bad) - show} more" if len(bad) > show else ""))
 
 
+def write_validated(df: DataFrame, specs: list[ColumnSpec], key: list[str], path: str) -> DataFrame:
+    """Write ``df`` to ``path`` as snappy Parquet in the declared order and types, if it is valid; return what was written.
+
+    It is settled first, so that what is checked is what is written. Invalid rows raise as in ``validate`` and write nothing.
+    """
+    rows = settle(coerce(df, specs), "validated")
+    validate(rows, specs, key)
+    rows.write.parquet(path, compression="snappy")
+    return df.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def fingerprint(df: DataFrame) -> DataFrame:
     """One row (rows, content): the same for the same rows in any order, computed without a sort."""
     h = F.xxhash64(*(F.coalesce(F.col(c).cast("string"), F.lit("\0")) for c in sorted(df.columns)))

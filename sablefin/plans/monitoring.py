@@ -77,14 +77,20 @@ _add(
 )
 
 
+_R01 = RULE_PARAMS["R01_STRUCTURING"]
+_OBSERVED = {"observed_min": "min(amount)", "observed_max": "max(amount)", "observed_txns": "count(*)"}
+
+
 def params_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The parameter table turned into one row, as a rule's head reads it."""
-    return t.pivot_params(t.params_table(spark, RULE_PARAMS), "R01_STRUCTURING", ["lower_bound", "upper_bound", "min_txn_count", "window_days"])
+    """The parameter table, with what the feed shows as further parameters, turned into one row, as a rule's head reads it."""
+    seen = t.tx_events(spark, sf_dir).agg(*(F.expr(x).cast("double").alias(n) for n, x in _OBSERVED.items()))
+    more = seen.select(F.lit("R01_STRUCTURING").alias("rule_id"), F.expr("stack(3, " + ", ".join(f"'{n}', {n}" for n in _OBSERVED) + ") AS (param_name, param_value)"))
+    return t.pivot_params(t.params_table(spark, RULE_PARAMS).unionByName(more), "R01_STRUCTURING", [*_R01, *_OBSERVED])
 
 
 _VALUES = ", ".join(f"('{r}', '{n}', {v}::DOUBLE)" for r, p in RULE_PARAMS.items() for n, v in p.items())
-_PIVOT = ", ".join(f"max(v) FILTER (n = '{n}') AS {n}" for n in RULE_PARAMS["R01_STRUCTURING"])
-_add("params_pivot", params_pivot, f"SELECT {_PIVOT} FROM (VALUES {_VALUES}) x(r, n, v) WHERE r = 'R01_STRUCTURING'")
+_PIVOT = ", ".join(f"max(v) FILTER (n = '{n}') AS {n}" for n in _R01)
+_add("params_pivot", params_pivot, f"{t.sql_views()}, seen AS (SELECT {', '.join(f'({x})::DOUBLE AS {n}' for n, x in _OBSERVED.items())} FROM tx) SELECT * FROM (SELECT {_PIVOT} FROM (VALUES {_VALUES}) x(r, n, v) WHERE r = 'R01_STRUCTURING'), seen")
 
 
 def txn_param_crossjoin(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -135,6 +135,15 @@ def test_validation_names_every_violation(spark):
     assert dq.coerce(df.select("s", "v", "k"), specs).columns == ["k", "v", "s"]
 
 
+def test_only_valid_rows_are_written(spark, tmp_path):
+    specs = [dq.ColumnSpec("k", "bigint", False), dq.ColumnSpec("v", "double", True, minimum=0)]
+    good = spark.createDataFrame([(1.5, 1), (None, 2)], "v double, k int")
+    assert sorted(map(tuple, dq.write_validated(good, specs, ["k"], str(tmp_path / "good")).collect())) == [(1, 1.5), (2, None)]
+    with pytest.raises(ValueError, match="v: 1 fail minimum"):
+        dq.write_validated(good.withColumn("v", -F.col("v")), specs, ["k"], str(tmp_path / "bad"))
+    assert not (tmp_path / "bad").exists()
+
+
 @pytest.fixture(scope="module")
 def service(spark, sf):
     w = spark.createDataFrame([("U1", "Sergei Ivanov", None, "P", "1968", "RU", None)], "uid string, name string, aliases string, program string, dob string, nationality string, national_id string")
