@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sablefin.llm import pii_kernel as kernel
-from sablefin.llm.common import table
+from sablefin.llm.common import replaced, table
 from sablefin.session import settle
 
 WIDTH, REACH, LEAST = 5, 256, 3
@@ -154,22 +154,13 @@ def sanitise(docs: DataFrame, text: str = "text", **how) -> DataFrame:
     cols = docs.columns
     got = _located(docs, tuple(cols), text=text, **how)
     body = F.col("_keep")[text]
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
-    def instead(s):
-        word = F.substring(body, s["start"] + 1, s["end"] - s["start"])
+    def instead(s, word):
         shape = F.when(word.rlike("[0-9]"), "[NUMBER]").when(word.rlike(r"^\p{Lu}"), "[NAME]").otherwise("[WORD]")
         name = F.concat(F.lit("["), F.upper(F.element_at(F.array(*map(F.lit, kernel.KINDS)), F.least(s["rank"], F.lit(3)) + 1)), F.lit("]"))
         return F.when(s["rank"] < 4, name).when(s["rank"] == KINDS.index("generalised"), shape).otherwise("")
 
-    def step(acc, s):
-        before = F.substring(body, acc["at"] + 1, s["start"] - acc["at"])
-        return F.struct(
-            F.greatest(acc["at"], s["end"]).alias("at"),
-            F.when(s["start"] >= acc["at"], F.concat(acc["out"], before, instead(s))).otherwise(acc["out"]).alias("out"),
-        )
-
-    cut = F.aggregate("spans", start, step, lambda acc: F.concat(acc["out"], F.substring(body, acc["at"] + 1, F.lit(2**31 - 1))))
+    cut = replaced(body, F.col("spans"), instead)
     return got.select(*(F.when(F.size("spans") > 0, cut).otherwise(body).alias(c) if c == text else F.col("_keep")[c].alias(c) for c in cols))
 
 

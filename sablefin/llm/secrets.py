@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sablefin.llm.common import let, table
+from sablefin.llm.common import blocks, let, replaced, table
 from sablefin.session import settle
 
 #: kind -> (pattern, group of the value, least length of the value), in listed order
@@ -45,17 +45,30 @@ def find_spans(text: Column, kind: str, pattern: str, group: int, least: int, ch
 
     def spans(f: Column) -> Column:
         lengths = F.zip_with(f["gap"], f["m"], lambda g, m: F.struct(F.length(g).alias("g"), F.length(m).alias("n")))
-        # fold over the matches: (place so far, index, spans)
-        start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int>>").alias("out"))
-        walk = F.aggregate(
-            F.slice(lengths, 1, F.size(f["m"])),
-            start,
-            lambda acc, x: F.struct(
-                (acc["at"] + x["g"] + x["n"]).alias("at"),
-                F.concat(acc["out"], F.array(F.struct((acc["at"] + x["g"]).alias("start"), (acc["at"] + x["g"] + x["n"]).alias("end")))).alias("out"),
-            ),
-            lambda acc: acc["out"],
-        )
+
+        def placed(parts: Column) -> Column:
+            total = F.transform(parts, lambda b: F.aggregate(b, F.lit(0), lambda acc, x: acc + x["g"] + x["n"]))
+
+            def walk(sums: Column) -> Column:
+                def one(b: Column, j: Column) -> Column:
+                    # fold over the matches of a block: (place so far, spans)
+                    at = F.aggregate(F.slice(sums, 1, j), F.lit(0), lambda acc, x: acc + x)
+                    start = F.struct(at.alias("at"), F.array().cast("array<struct<start:int,end:int>>").alias("out"))
+                    return F.aggregate(
+                        b,
+                        start,
+                        lambda acc, x: F.struct(
+                            (acc["at"] + x["g"] + x["n"]).alias("at"),
+                            F.concat(acc["out"], F.array(F.struct((acc["at"] + x["g"]).alias("start"), (acc["at"] + x["g"] + x["n"]).alias("end")))).alias("out"),
+                        ),
+                        lambda acc: acc["out"],
+                    )
+
+                return F.flatten(F.transform(parts, one))
+
+            return let(total, walk)
+
+        walk = let(blocks(F.slice(lengths, 1, F.size(f["m"]))), placed)
         return F.zip_with(walk, f["v"], lambda s, v: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.lit(kind).alias("kind"), v.alias("value")))
 
     return F.filter(let(found, spans), lambda s: F.length(s["value"]) >= least)
@@ -73,12 +86,16 @@ def _all_spans(text: Column) -> Column:
 
     def join(pair: Column) -> Column:
         own, more = pair["own"], pair["more"]
-        more = F.filter(
-            more,
-            lambda g: g["value"].rlike("[A-Z]") & g["value"].rlike("[a-z]") & g["value"].rlike("[0-9]")
-            & ~F.exists(own, lambda b: (b["start"] < g["end"]) & (g["start"] < b["end"])),
-        )
-        return F.concat(own, more)
+        mixed = F.filter(more, lambda g: g["value"].rlike("[A-Z]") & g["value"].rlike("[a-z]") & g["value"].rlike("[0-9]"))
+        # base spans in order, by blocks that know how far they reach
+        ends = F.sort_array(F.transform(own, lambda b: F.struct(b["start"].alias("start"), b["end"].alias("end"))))
+        reach = F.transform(
+            blocks(ends),
+            lambda b: F.struct(F.array_min(F.transform(b, lambda s: s["start"])).alias("low"), F.array_max(F.transform(b, lambda s: s["end"])).alias("high"), b.alias("spans")),
+        )
+        meets = lambda r, g: F.exists(r["spans"], lambda b: (b["start"] < g["end"]) & (g["start"] < b["end"]))
+        apart = let(reach, lambda rs: F.filter(mixed, lambda g: ~F.exists(rs, lambda r: (r["low"] < g["end"]) & (g["start"] < r["high"]) & meets(r, g))))
+        return F.concat(own, F.when(F.size(own) > 0, apart).otherwise(mixed))
 
     both = let(F.struct(F.concat(*base).alias("own"), generic.alias("more")), join)
     ordered = F.transform(both, lambda s: F.struct(s["start"].alias("start"), F.element_at(ranks, s["kind"]).alias("rank"), s["end"].alias("end"), s["kind"].alias("kind"), s["value"].alias("value")))
@@ -169,16 +186,7 @@ def redact(docs: DataFrame, text: str = "text", mask: str = "[SECRET]", **how) -
     cols = docs.columns
     got = _scanned(docs, tuple(cols), text=text, **how)
     body = F.col("_keep")[text]
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-
-    def step(acc: Column, s: Column) -> Column:
-        fresh = s["start"] >= acc["at"]
-        return F.struct(
-            F.greatest(acc["at"], s["end"]).alias("at"),
-            F.when(fresh, F.concat(acc["out"], F.substring(body, acc["at"] + 1, s["start"] - acc["at"]), F.lit(mask))).otherwise(acc["out"]).alias("out"),
-        )
-
-    cut = F.aggregate("found", start, step, lambda acc: F.concat(acc["out"], F.substring(body, acc["at"] + 1, F.lit(2**31 - 1))))
+    cut = replaced(body, F.col("found"), lambda s, word: F.lit(mask))
     return got.select(*(F.when(F.size("found") > 0, cut).otherwise(body).alias(c) if c == text else F.col("_keep")[c].alias(c) for c in cols))
 
 
