@@ -68,9 +68,28 @@ def scratch_dir(spark: SparkSession) -> str:
     return named.rstrip("/")
 
 
+def settled_paths(spark: SparkSession) -> list[str]:
+    """Paths that ``settled_path`` gave out in this context and that aren't forgotten, oldest first."""
+    sc = spark.sparkContext
+    if not hasattr(sc, "_sablefin_settled"):
+        sc._sablefin_settled = []
+    return sc._sablefin_settled
+
+
 def settled_path(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that nothing else uses."""
-    return f"{scratch_dir(spark)}/settled/{name}-{uuid.uuid4().hex}"
+    path = f"{scratch_dir(spark)}/settled/{name}-{uuid.uuid4().hex}"
+    settled_paths(spark).append(path)
+    return path
+
+
+def forget(spark: SparkSession, paths: list[str]) -> None:
+    """Delete settled tables that no plan reads any more; other paths are refused."""
+    known = settled_paths(spark)
+    for path in paths:
+        known.remove(path)
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def settle(df: DataFrame, name: str) -> DataFrame:

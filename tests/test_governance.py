@@ -7,6 +7,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from sablefin import session
 from sablefin.operators import audit, data_quality as dq
 from sablefin.plans import governance as gov, service as svc
 from sablefin.sources import generator, tables as t
@@ -135,6 +136,17 @@ def test_validation_names_every_violation(spark):
     assert dq.coerce(df.select("s", "v", "k"), specs).columns == ["k", "v", "s"]
 
 
+def test_settled_tables_can_be_forgotten(spark):
+    a, b = session.settle(spark.range(3), "a"), session.settle(spark.range(4), "b")
+    first, last = session.settled_paths(spark)[-2:]
+    session.forget(spark, [first])
+    assert b.count() == 4 and session.settled_paths(spark)[-1] == last and first not in session.settled_paths(spark)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND|does not exist|not exist"):
+        spark.read.parquet(first).count()
+    with pytest.raises(ValueError):
+        session.forget(spark, ["/nowhere"])
+
+
 def test_only_valid_rows_are_written(spark, tmp_path):
     specs = [dq.ColumnSpec("k", "bigint", False), dq.ColumnSpec("v", "double", True, minimum=0)]
     good = spark.createDataFrame([(1.5, 1), (None, 2)], "v double, k int")
