@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from sablefin.llm import mixing, packing, quality, secrets, simhash
 from sablefin.llm.token_kernel import default_path
-from sablefin.session import settle, ship
+from sablefin.session import forget, settle, settled_paths, ship
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,10 +51,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages in a row over ``documents``. What a stage wrote for itself, and its input, go once its result is written."""
     ship(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for k, (_, stage) in enumerate(STAGES):
+        before = len(settled_paths(spark))
         docs = stage(spark, docs, sf_dir)
         if k < len(STAGES) - 1:
             docs = settle(docs, f"stage-{k}")
+            own = settled_paths(spark)[before:-1]
+            forget(spark, [*settled_paths(spark)[before - 1 : before], *own] if k else own)
     return docs
