@@ -5,6 +5,7 @@ from __future__ import annotations
 import binascii
 import collections
 import hashlib
+import math
 import random
 import re
 import time
@@ -299,6 +300,58 @@ def test_terms_that_give_an_entity_away_are_cut(docs_of, dir_of, spark):
     assert pii.find(docs_of([])).count() == 0
 
 
+def plain_disclosure(rows):
+    """Spans of every row by the definitions, in Python: counts over all rows, no filter and no join."""
+    texts = [t or "" for _, t, _, _ in rows]
+    base = [pii_kernel.base_spans(t) for t in texts]
+    near = [list(pii_kernel.contexts(t, b, pii.WIDTH, pii.REACH, pii.LEAST)) if b else [] for t, b in zip(texts, base, strict=True)]
+    evidence, holds = collections.defaultdict(set), collections.Counter()
+    for k, some in enumerate(near):
+        for e, t, _, _, w in some:
+            evidence[e, t].add((k, w))
+        holds.update({e for e, *_ in some})
+    df = collections.Counter(t for text in texts for t in {pii_kernel.term(w) for w in re.split("[\x20\x09-\x0d]+", text) if w})
+    rank, n = {}, len(rows)
+    for (e, t), seen in evidence.items():
+        if len({w for _, w in seen}) >= pii.SUPPORT:
+            ic = math.log(n / holds[e])
+            ratio = math.log(min(len(seen), df[t], holds[e]) * n / (holds[e] * df[t])) / ic if ic > 0 else 0.0
+            if ratio >= pii.GENERAL_AT:
+                rank[e, t] = 5 if ratio >= pii.REMOVE_AT else 4
+    out = []
+    for b, some in zip(base, near, strict=True):
+        more: dict = {}
+        for e, t, a, z, _ in some:
+            if (e, t) in rank:
+                more[a, z] = max(rank[e, t], more.get((a, z), 0))
+        out.append(sorted([*b, *((a, r, z) for (a, z), r in more.items())]))
+    return out
+
+
+def test_disclosure_against_plain_counts(docs_of):
+    rng = random.Random(12)
+    people = [f"p{k}@corp.example" for k in range(6)] + ["10.0.0.7", "+49 30 1234567"]
+    tell = {p: [f"Secret{k}a", f"Secret{k}b"] for k, p in enumerate(people)}
+    common_ = [f"word{k}" for k in range(25)]
+    rows = []
+    for k in range(220):
+        words = [rng.choice(common_) for _ in range(rng.randrange(3, 25))]
+        if k % 3 == 0:
+            words.append(tell[rng.choice(people)][1])
+        for _ in range(rng.randrange(1, 3) if k % 3 == 1 else 0):
+            who = rng.choice(people)
+            at = rng.randrange(len(words))
+            words[at:at] = [rng.choice(tell[who]) if rng.random() < 0.8 else rng.choice(common_), who, rng.choice(tell[rng.choice(people)]) if rng.random() < 0.3 else rng.choice(common_)]
+        rows.append((k, " ".join(words) if k % 50 else None, "en", "a"))
+    rows += [rows[4], rows[8], (None, "", None, None)]
+    got = pii.find(docs_of(rows, clash=True)).collect()
+    want = plain_disclosure(rows)
+    mine = sorted((repr(r["doc_id"]), [tuple(s) for s in r["spans"]]) for r in got)
+    assert mine == sorted((repr(r[0]), w) for r, w in zip(rows, want, strict=True))
+    kinds = collections.Counter(k for w in want for _, k, _ in w)
+    assert kinds[4] and kinds[5]
+
+
 def test_pairwise_ranking(docs_of, spark, sf):
     out = ranking.op8_ranking(spark, sf).toPandas()
     labels = spark.read.parquet(f"{sf}/labels.parquet").toPandas()
