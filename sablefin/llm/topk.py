@@ -21,7 +21,8 @@ from sablefin.session import settle
 
 K = 20
 SHARD = 20_000
-BLOCK = 1024
+#: Queries that meet a shard at once: candidates are copied once for each block.
+BLOCK = 8192
 
 
 def usable(v: Column) -> Column:
@@ -43,14 +44,20 @@ def search(
     Queries are the rows for which ``is_query`` holds (null: no), candidates all rows but the query's own
     row; another row with the query's id or vector is a candidate like any other. Components become
     floor(``factor`` x); vectors that are null or hold null or non-finite components take no part. Shorter
-    vectors count as padded with zeros. Ties go to the smaller id, null ids last.
+    vectors count as padded with zeros. Ties go to the smaller id, null ids last. Scores are exact whatever their size; one that a long
+    can't hold is the nearest long, and so is a component.
     """
     rows = vectors.where(usable(F.col(vector))).select(
         F.monotonically_increasing_id().alias("_row"), F.col(vec_id).cast("long").alias("_id"), scaled(F.col(vector), factor).alias("_v"),
         F.coalesce(is_query, F.lit(False)).alias("_q"),
     )
     rows = settle(rows, "topk-vectors")
-    n, m, width = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.col("_q").cast("long")), F.lit(0)), F.coalesce(F.max(F.size("_v")), F.lit(0))).first()
+    wide = lambda c: c.cast("decimal(20,0)")  # noqa: E731  the least long has no opposite
+    far = F.greatest(wide(F.array_max("_v")), -wide(F.array_min("_v")))
+    n, m, width, most = rows.agg(
+        F.count(F.lit(1)), F.coalesce(F.sum(F.col("_q").cast("long")), F.lit(0)), F.coalesce(F.max(F.size("_v")), F.lit(0)), F.coalesce(F.max(far), F.lit(0))
+    ).first()
+    kind = kernel.exact_type(width, int(most))
     shards, blocks = max(1, -(-n // shard)), max(1, -(-m // block))
     every = lambda count: F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
     place = F.xxhash64("_row")
@@ -63,7 +70,7 @@ def search(
         lengths = np.asarray(pc.list_value_length(v).to_numpy(zero_copy_only=False), np.int64)
         ids = t.column("_id").combine_chunks()
         known = np.asarray(ids.is_valid().to_numpy(zero_copy_only=False))
-        return t.column("_row").to_numpy(), ids.fill_null(0).to_numpy(), known, kernel.matrix(np.asarray(v.flatten().to_numpy(), np.int64), lengths, width)
+        return t.column("_row").to_numpy(), ids.fill_null(0).to_numpy(), known, kernel.matrix(np.asarray(v.flatten().to_numpy(zero_copy_only=False), np.int64).astype(kind), lengths, width)
 
     def work(left: pa.Table, right: pa.Table) -> pa.Table:
         rows_, ids, known, x = part(left)

@@ -8,6 +8,12 @@ _SEED_DIMS = 8
 _GROUP = 8
 
 
+def exact_type(width: int, most: int):
+    """The number type in which sums of ``width`` products of integers up to ``most`` are exact: doubles, whose products the
+    processor's own routines take, or else Python's integers."""
+    return np.float64 if max(width, 1) * most * most < 1 << 52 else object
+
+
 class Shard:
     """Vectors of one shard as postings by dimension, with the largest and smallest value of each."""
 
@@ -36,14 +42,15 @@ class Shard:
         dims = min(_SEED_DIMS, len(q))
         acc = w[:dims] @ self.lists[order[:dims]]
         mine = np.flatnonzero(self.rows == own)
-        acc[mine] = np.iinfo(np.int64).min // 2
+        never = -np.inf if acc.dtype == np.float64 else -(1 << 200)
+        acc[mine] = never
         pool = self.n - len(mine)
         if pool <= 0:
             return np.empty(0, int), np.empty(0, np.int64)
-        threshold = np.iinfo(np.int64).min // 4
+        threshold = never
         if pool > k:
             seeds = np.argpartition(-acc, k - 1)[:k]
-            threshold = int((w @ self.lists[np.ix_(order, seeds)]).min())
+            threshold = (w @ self.lists[np.ix_(order, seeds)]).min()
         split = len(q)
         while split > dims and after[split - 1] + before[split - 1] < threshold:
             split -= 1
@@ -61,8 +68,12 @@ class Shard:
 
 
 def best(ids: np.ndarray, known: np.ndarray, places: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """The k best of ``places`` by score, then id, null ids last."""
-    keep = np.lexsort((ids[places], ~known[places], -scores))[:k]
+    """The k best of ``places`` by score, then id, null ids last. Scores leave as longs, the nearest one beyond their range."""
+    if scores.dtype == object:
+        scores = np.array([min(max(int(x), -(1 << 63)), (1 << 63) - 1) for x in scores], np.int64)
+    else:
+        scores = scores.astype(np.int64)
+    keep = np.lexsort((ids[places], ~known[places], ~scores))[:k]  # ~: as minus, for the least long too
     return places[keep], scores[keep]
 
 
