@@ -124,7 +124,8 @@ def copies(docs: DataFrame, size: Column, keep: tuple[str, ...] = ("doc_id",), *
 
     Copies are 0 to ``limit``. Bucketing and draws depend on the seed, the ``order`` columns and the
     sizes alone, so reruns agree; rows equal in all of these are interchangeable. Documents of no
-    words get copies by a draw of their own. Null sources are one source, last. A source whose
+    words get copies by a draw of their own. The targets are worked out on the driver, from a row a source, so a source is to be a
+    feed and not a host. Null sources are one source, last. A source whose
     documents have no words has target 0.
     """
     got = _copied(docs, size, keep, **how)

@@ -191,7 +191,7 @@ def solve(counts: np.ndarray, capacity: int, n_classes: int = 64, step: float =
     return min((_realise(Plan(counts, capacity), members, solved, full) for full in (True, False)), key=lambda p: p.sequences)
 
 
-def make_plan(counts: np.ndarray, capacity: int, **how) -> tuple[np.ndarray, int]:
+def make_plan(counts: np.ndarray, capacity: int, n_classes: int = 64, **how) -> tuple[np.ndarray, int]:
     """(segments, sequences) of ``solve``."""
-    plan = solve(counts, capacity, **how)
+    plan = solve(counts, capacity, n_classes, **how)
     return np.array(plan.segments, np.int64).reshape(-1, len(SEGMENT)), plan.sequences
