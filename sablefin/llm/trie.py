@@ -79,8 +79,9 @@ def rebuilt(convs: DataFrame, conv_id: str = "conv_id", turn: str = "turn", role
     said, by = F.coalesce(F.col(text), F.lit("")), F.coalesce(F.col(role), F.lit(""))
     a, b = _digest(F.length(by).cast("string"), by, said)
     slim = convs.select(F.col(conv_id).cast("long").alias("conv"), F.col(turn).alias("turn"), a.alias("a"), b.alias("b"), n_words(said).alias("words"))
+    slim = settle(slim.where("conv is not null"), "turns")  # dealing to ranges reads rows twice: texts once
     flip = lambda c: F.col(c).bitwiseXOR(F.lit(-(1 << 63)))  # noqa: E731  orders as the digest's hex text
-    slim = numbered(slim.where("conv is not null"), ["conv", "turn", flip("a"), flip("b")], "nth").drop("turn")
+    slim = numbered(slim, ["conv", "turn", flip("a"), flip("b")], "nth").drop("turn")
     per = slim.groupBy("conv").agg(F.min("nth").alias("start"), F.count(F.lit(1)).alias("n"))
     per = per.withColumn("base", F.expr(f"conv - conv % {GROUP}")).withColumn("h", F.crc32(F.col("conv").cast("string").cast("binary")) % 4)
     per = settle(per, "conversations")
