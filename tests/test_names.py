@@ -146,6 +146,18 @@ def test_candidates_are_counted_as_pairs_would_be(spark, most):
     assert len(got) > 13 and [tuple(x) for x in got] == [tuple(x) for x in want]
 
 
+@pytest.mark.parametrize(("few", "most"), [(1, 8), (1, 2), (1, 0), (3, 8), (64, 8)])
+def test_candidates_are_counted_alike_however_common_their_keys(spark, sf, few, most):
+    """Sets of common keys, rare keys, and classes of too many common keys, which are paired."""
+    from sablefin.plans.screening import _feed
+
+    c, w, _ = _feed(spark, sf)
+    cfg = Screening(max_block=20, strategies=("PS", "SP", "IB", "PA"))
+    r, s = sc.references(w, cfg), sc.subjects(c, cfg)
+    want = sorted(tuple(x) for x in sc.candidates(s, r, cfg).groupBy("subject_id").count().collect())
+    assert want and sorted(tuple(x) for x in sc.candidate_counts(s, r, cfg, few, most).collect()) == want
+
+
 def _many_of_one_name(spark, n):
     k = spark.range(n).select(F.concat(F.lit("K"), "id").alias("uid"), F.lit("Sergei Ivanov").alias("name"), *(F.lit(None).cast("string").alias(c) for c in ("aliases", "program", "dob", "nationality", "national_id")))
     return k.select(F.col("uid").alias("subject_id"), "name", "dob", "nationality", "national_id"), k
