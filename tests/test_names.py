@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sablefin.config import Screening
-from sablefin.functions import metaphone, names, similarity
+from sablefin.functions import metaphone, names, nearest, similarity
 from sablefin.operators import screening as sc
 
 CFG = Screening()
@@ -194,6 +194,44 @@ def test_shortlists_are_taken_once_a_name(spark, size, cut, kept):
     assert alerts == {(f"S{k}", u) for k in range(2) for u in kept}
 
 
+def test_nearest_equals_all_comparisons():
+    """Ties to the earlier one, names over 64 letters, empty ones, letters beyond ASCII."""
+    rng = random.Random(1)
+    for longest, n in ((4, 1300), (20, 700), (90, 60)):
+        word = lambda: "".join(rng.choice("abcdé ") for _ in range(rng.randint(0, longest)))  # noqa: B023, E731
+        a, b = [word() for _ in range(20)], [word() for _ in range(n)]
+        for floor, most in ((0.3, 3), (0.62, 41), (0.8, 1)):
+            want = []
+            for i, x in enumerate(a):
+                got = [(similarity.jaro_winkler(x, y), j) for j, y in enumerate(b)]
+                want += [(i, j, v) for v, j in sorted(got, key=lambda t: (-round(t[0], 9), t[1])) if v >= floor][:most]
+            assert [tuple(x) for x in zip(*(c.tolist() for c in nearest.nearest(a, b, floor, most, 9)), strict=True)] == want
+
+
+@pytest.mark.parametrize("tile", [(8192, 65536), (7, 11)])
+def test_shortlists_without_all_pairs(spark, sf, tile, monkeypatch):
+    """No more names come back than the lists can hold; the lists are those of all pairs, met in tiles of any size."""
+    from sablefin.plans.screening import _feed
+
+    monkeypatch.setattr(sc, "SMALL", 40)
+    c, w, _ = _feed(spark, sf)
+    cfg = Screening(prefilter=0.3, shortlist=4)
+    r, s = sc.references(w, cfg), sc.subjects(c, cfg)
+    likely = sc.likely(s, r, cfg, tile)
+    assert likely.groupBy("s_name").count().agg(F.max("count")).first()[0] == cfg.shortlist + 1
+    name = lambda df, *who: {tuple(x[:-1]): x[-1] for x in df.select(*who, "n.sorted_key").collect()}
+    key, of = name(s, "n.normalized"), name(r, "n.normalized", "uid", "pos")
+    pairs = sc.candidates(s, r, cfg).join(s.select("subject_id", F.col("n.normalized").alias("s")), "subject_id").select("s", "uid", "pos").distinct()
+    refs = {(u, p): (n, k) for (n, u, p), k in of.items()}
+    want: dict = {}
+    for x in pairs.collect():
+        pre = similarity.jaro_winkler(key[x["s"],], refs[x["uid"], x["pos"]][1])
+        if pre >= cfg.prefilter:
+            want.setdefault(x["s"], []).append((-round(pre, 9), x["uid"], x["pos"]))
+    got = sorted((x["s_name"], x["uid"], x["pos"], x["cut"]) for x in sc.shortlist(likely, r, cfg).collect())
+    assert got == sorted((s, u, p, len(v) > 4) for s, v in want.items() for _, u, p in sorted(v)[:4])
+
+
 def test_han_given_names(spark):
     """Every character of the block of common ones that the transform knows has a reading; surnames have their own."""
     r = names.han_readings(spark)
