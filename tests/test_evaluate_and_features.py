@@ -158,3 +158,16 @@ def test_slices_equal_separate_runs(spark):
     thin = {(r["model"], r["slice"]): r for r in ev.out_of_time_report(df, 2, least=10**6).collect()}
     assert thin["p", "out_of_time"]["roc_auc"] is None and thin["p", "test"]["roc_auc"] is not None
     assert ev.out_of_time_report(df.where("y"), 2).where("roc_auc is not null").count() == 0 and ev.out_of_time_report(df.limit(0), 2).count() == 0
+
+
+def test_partitions_by_customer_grow_with_the_input(spark, tmp_path, sf):
+    """A task of the monthly windows gets as many bytes of a large input as of a small one; rows and customers stay whole."""
+    from sablefin.session import spread
+
+    rows = spark.range(20_000).select((F.col("id") % 500).alias("customer_id"), F.rand(1).alias("x"))
+    rows.write.parquet(str(tmp_path / "rows"))
+    df = spark.read.parquet(str(tmp_path / "rows"))
+    out = spread(df, "customer_id", part=10_000)
+    parts = out.select("customer_id", F.spark_partition_id().alias("p")).distinct()
+    assert out.rdd.getNumPartitions() > 8 and out.count() == 20_000 and parts.count() == 500
+    assert spread(rows, "customer_id").count() == 20_000
