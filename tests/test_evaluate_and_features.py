@@ -63,6 +63,28 @@ def test_percentile_rank_shares_ties(spark):
     assert {r["id"]: r["pct_rank"] for r in ev.percentile_rank(df, "v").collect()} == {1: 0.25, 2: 0.625, 3: 0.625, 4: 1.0}
 
 
+def test_separability_reads_its_rows_once(spark):
+    _, rows = scored(spark, ties=9)
+    rows = [(k, s, "anomaly" if y else ("near_miss", "background", "background")[k % 3]) for k, s, y in rows]
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def met(v):
+        seen.add(1)
+        return v
+
+    df = spark.createDataFrame([*rows, (-1, None, "background")], "id long, v double, kind string").withColumn("score", met.asNondeterministic()("v"))
+    got = {r["kind"]: r for r in ev.separability(df).collect()}
+    assert seen.value == len(rows) + 1
+    every = [s for _, s, _ in rows]
+    for kind, r in got.items():
+        mine = [s for _, s, x in rows if x == kind]
+        assert r["mean_percentile"] == pytest.approx(sum((sum(o < s for o in every) + (every.count(s) + 1) / 2) / len(every) for s in mine) / len(mine))
+        both = [(k, s, x == "anomaly") for k, s, x in rows if x in ("anomaly", kind)]
+        assert r["roc_auc"] == (None if kind == "anomaly" else pytest.approx(plain_auc(both)))
+    assert set(got) == {"anomaly", "near_miss", "background"}
+
+
 def test_split_is_exact_grouped_and_stable(spark):
     df = spark.range(1000).select((F.col("id") % 203).alias("customer_id"))
     a = {r["customer_id"]: r["is_test"] for r in ft.split_by_customer(df).collect()}
