@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from sablefin.config import scenarios
 from sablefin.operators import rules, sweep
 from sablefin.plans.monitoring import cells, feed, tuned
+from sablefin.sources import tables
 from sablefin.sources.tables import TX_SCHEMA
 
 
@@ -147,3 +148,20 @@ def test_recommendation_prefers_recall_within_the_limit(spark):
     assert (r["recommended_value"], r["within_limit"], r["changed"]) == (3.0, True, True)
     r = sweep.recommend(spark.createDataFrame(rows, kinds).where(F.col("false_positive_ratio") > 1), 5.0).first()
     assert (r["recommended_value"], r["within_limit"]) == (3.0, False)
+
+
+def test_lines_are_the_same_in_sized_joins(spark, sf, monkeypatch):
+    plain = tables.tx_lines(spark, sf)
+    monkeypatch.setattr(tables, "pieces", lambda df: 7)
+    sized = tables.tx_lines(spark, sf).select(*plain.columns)
+    assert plain.count() and not plain.exceptAll(sized).count() and not sized.exceptAll(plain).count()
+
+
+def test_dormancy_partitions_follow_the_input(spark, tmp_path):
+    """Six parts' worth of files: a task takes a part of them, not a share of the session's four partitions."""
+    tx = spark.range(3_000_000).select((F.col("id") % 9_000).alias("customer_id"), F.timestamp_seconds(1_700_000_000 + F.col("id") * 7).alias("txn_ts"), (F.rand(1) * 1e4).alias("amount"))
+    tx.write.parquet(str(tmp_path / "tx"))
+    tx = spark.read.parquet(str(tmp_path / "tx"))
+    n = sum(f.stat().st_size for f in (tmp_path / "tx").glob("*.parquet")) // (4 << 20)
+    got = rules.dormant(tx, None, None, {"dormancy_days": 1, "min_reactivation_txns": 1})
+    assert n > 4 and got.rdd.getNumPartitions() == n
