@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 
 import duckdb
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -270,3 +271,15 @@ def test_sweep_counts_entities_not_rows(spark):
     by = {r["threshold"]: r for r in sc.screening_sweep(alerts, truth, (0.7, 0.86, 0.94)).collect()}
     assert (by[0.7]["alerted_subjects"], by[0.7]["detected"], by[0.7]["recall"]) == (3, 1, 0.5)
     assert (by[0.94]["detected"], by[0.94]["fp_ratio"]) == (0, float("inf"))
+
+
+def test_workers_hold_few_names_at_a_time():
+    """However large a batch and however many distinct words: no frame of a whole batch, no sounds that no key needs."""
+    word = lambda k: "".join(chr(97 + k // 26**i % 26) for i in range(4))
+    batch = pd.Series([f"{word(7 * k)} {word(k)}q" for k in range(3_000)])
+    before = metaphone.double_metaphone.cache_info().currsize
+    frames = list(sc._normalized(iter([batch, batch[:0]]), Screening(strategies=("IB",)), {}))
+    assert max(map(len, frames)) <= 500 and metaphone.double_metaphone.cache_info().currsize == before
+    got = pd.concat(frames)
+    assert got["normalized"].tolist() == batch.tolist()
+    assert got["keys"].tolist() == [["IB:" + "".join(sorted({w[0] for w in x.split()}))] for x in batch]
