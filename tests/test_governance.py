@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import gzip
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -86,6 +88,31 @@ def test_manifests_by_executors(spark, tmp_path):
     assert plain == {"only_left": ["own"], "only_right": ["new"], "differ": ["deep er/b'x.csv"]}
 
 
+def test_large_files_are_hashed_by_parts(spark, tmp_path, monkeypatch):
+    """No task reads more than a part and the line that runs out of it; states are handed on; the hashes are those of the whole files."""
+    rnd = random.Random(5)
+    mark, some = b"\xef\xbb\xbf", lambda n: rnd.randbytes(n)
+    bodies = {
+        "random": some(90_000), "one line": b"x" * 30_000, "long line.csv": b"a\r\n" + b"y" * 25_000 + b"\n\n" + some(9_000), "lines": b"\n" * 12_000, "end": some(12_000).rstrip(b"\n") + b"\n",
+        "marks": mark + mark + b"\n" + mark + some(12_000), "mark and line": mark + b"\n" * 11_000, "on {a,b} [part]*?": (b"z" * 3_999 + b"\n") * 4, "small": b"s", "empty": b"", "packed.gz": gzip.compress(some(12_000)), "left out": some(11_000),
+    }
+    (tmp_path / "in ner").mkdir()
+    for name, body in bodies.items():
+        (tmp_path / "in ner" / name).write_bytes(body)
+    monkeypatch.setattr(audit, "WHOLE", 10_000)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4000")
+    parts, run = [], spark.sparkContext.runJob
+    monkeypatch.setattr(spark.sparkContext, "runJob", lambda rdd, f, only: parts.append((rdd.getNumPartitions(), only)) or run(rdd, f, only))
+    try:
+        got = audit.manifest_of(spark, str(tmp_path), ("left out",)).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert {r["name"]: r["sha256"] for r in got} == audit.manifest(tmp_path, ("left out",))
+    assert {r["name"]: r["bytes"] for r in got} == {f"in ner/{k}": len(v) for k, v in bodies.items() if k != "left out"}
+    # each job is one part of many
+    assert max(n for n, _ in parts) == 23 and all(len(only) == 1 for _, only in parts) and len(parts) == sum(-(-len(v) // 4_000) for k, v in bodies.items() if len(v) > 10_000 and k not in ("left out", "packed.gz"))
+
+
 def test_jsonl_round_trip_and_csv(spark, records, tmp_path):
     for n in ("a", "b"):
         assert audit.write_jsonl(frame(spark, records).repartition(3), str(tmp_path / n), lines=2) == 5
