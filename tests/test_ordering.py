@@ -49,3 +49,12 @@ def test_numbered(spark):
     want = [tuple(r) for r in df.orderBy("a", F.desc("b"), "c").collect()]
     assert [tuple(r) for r in got.orderBy("nth").collect()] == [(*r, k) for k, r in enumerate(want, 5)]
     assert ordering.numbered(df.where("c < 0"), ["a"]).count() == 0
+
+
+def test_numbers_need_no_python_workers(spark, capsys):
+    """The ranges' first numbers come from the plan: no rows of Python objects, which every executor would start workers for."""
+    df = ordering.numbered(spark.range(50), ["id"])
+    df.explain()
+    plan = capsys.readouterr().out
+    assert "LocalTableScan" in plan and "ExistingRDD" not in plan
+    assert [(r["id"], r["n"]) for r in df.orderBy("id").collect()] == [(k, k) for k in range(50)]
