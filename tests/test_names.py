@@ -212,6 +212,33 @@ def test_nearest_equals_all_comparisons():
             assert [tuple(x) for x in zip(*(c.tolist() for c in nearest.nearest(a, b, floor, most, 9)), strict=True)] == want
 
 
+def test_few_pairs_of_a_block_are_compared_letter_by_letter(monkeypatch):
+    """Bounds by shared letters in any order left nearly half of all pairs to compare."""
+    rng, seen = random.Random(3), []
+    word = lambda: "".join(rng.choice("etaoinshrdlu") for _ in range(rng.randint(4, 12)))
+    names = lambda n: [" ".join(sorted(("e" + word(), "o" + word()))) for _ in range(n)]
+    a, b = names(40), names(6000)
+    compare = similarity.jaro_winkler_bits
+    monkeypatch.setattr(nearest, "jaro_winkler_bits", lambda q, r, masks, i, *rest: (seen.append(len(i)), compare(q, r, masks, i, *rest))[1])
+    i, j, got = nearest.nearest(a, b, 0.62, 41, 9)
+    assert sum(seen) < 0.2 * len(a) * len(b)
+    for k in (0, 39):
+        all_ = sorted((-round(similarity.jaro_winkler(a[k], y), 9), n) for n, y in enumerate(b))[:41]
+        assert [(-round(v, 9), n) for v, n in zip(got[i == k], j[i == k], strict=True)] == all_
+
+
+def test_signals_of_many_pairs_equal_those_of_one():
+    """Texts beyond a word's bits, empty ones and ones that hold a zero letter among them."""
+    rng = random.Random(2)
+    for longest in (1, 5, 12, 32, 40, 100):
+        word = lambda: " ".join("".join(rng.choice("abcdé\0") for _ in range(rng.randint(1, max(1, longest // 4)))) for _ in range(rng.randint(0, 4)))  # noqa: B023, E731
+        a, b = [word() for _ in range(500)], [word() for _ in range(500)]
+        each = list(zip(a, b, strict=True))
+        assert similarity.jaro_winkler_many(a, b).tolist() == [similarity.jaro_winkler(x, y) for x, y in each]
+        assert similarity.indel_many(a, b).tolist() == [similarity.indel(x, y) for x, y in each]
+        assert similarity.token_set_many(a, b).tolist() == [similarity.token_set(x, y) for x, y in each]
+
+
 @pytest.mark.parametrize("tile", [(8192, 65536), (7, 11)])
 def test_shortlists_without_all_pairs(spark, sf, tile, monkeypatch):
     """No more names come back than the lists can hold; the lists are those of all pairs, met in tiles of any size."""
