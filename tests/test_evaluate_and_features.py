@@ -130,6 +130,22 @@ def test_tripwires():
     assert models.tripwire(0.925, supervised=False) == "ok"
 
 
+def test_rows_descend_isolation_trees_level_by_level():
+    """Path lengths of a walk down each tree, for values on a cut, infinite ones and not-a-number too."""
+    def walk(tree, row, at=0):
+        return at + float(models._unlucky(tree[0])) if len(tree) == 1 else walk(tree[2] if row[tree[0]] < tree[1] else tree[3], row, at + 1)
+
+    rng = np.random.default_rng(1)
+    x = np.round(rng.lognormal(size=(3000, 5)), 1)
+    for t in range(5):
+        tree = models.grow_tree(x[rng.choice(3000, (1, 2, 64, 256, 256)[t])], t, 7)
+        if len(tree) > 1:
+            x[7, tree[0]] = tree[1]
+        some = np.vstack([x[:200], np.full((1, 5), np.nan), np.full((1, 5), np.inf), np.full((1, 5), -np.inf)])
+        assert models._descend(models._flat(tree), some).tolist() == [walk(tree, row) for row in some]
+    assert models._descend(models._flat((3,)), x[:0]).tolist() == []
+
+
 def test_isolation_forest_finds_outliers(spark):
     rng = random.Random(2)
     rows = [(k, rng.gauss(0, 1), rng.gauss(0, 1), False) for k in range(500)] + [(1000 + k, 9.0 + k, -9.0, True) for k in range(5)]
