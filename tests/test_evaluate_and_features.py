@@ -209,3 +209,15 @@ def test_partitions_by_customer_grow_with_the_input(spark, tmp_path, sf):
     parts = out.select("customer_id", F.spark_partition_id().alias("p")).distinct()
     assert out.rdd.getNumPartitions() > 8 and out.count() == 20_000 and parts.count() == 500
     assert spread(rows, "customer_id").count() == 20_000
+
+
+def test_wide_feature_rows_are_not_shuffled(spark, sf):
+    """Self-relative columns are made where base features are, so nothing is exchanged after these are settled but fitted baselines."""
+    from sablefin.plans import features as plans
+
+    base = plans.settled_base(spark, sf)
+    got = plans.transformed(spark, sf, base)
+    plain = ft.transform(base.drop(*ft.SELF), ft.peer_medians(base.where(plans._TRAIN)), ft.shrink_targets(base.where(plans._TRAIN)), plans.SEGMENTS)
+    assert got.columns == plain.columns and got.exceptAll(plain).isEmpty() and plain.exceptAll(got).isEmpty()
+    by_customer = lambda df: df._jdf.queryExecution().executedPlan().toString().count("hashpartitioning(customer_id")
+    assert by_customer(got) == 0 < by_customer(plain)
