@@ -221,3 +221,15 @@ def test_wide_feature_rows_are_not_shuffled(spark, sf):
     assert got.columns == plain.columns and got.exceptAll(plain).isEmpty() and plain.exceptAll(got).isEmpty()
     by_customer = lambda df: df._jdf.queryExecution().executedPlan().toString().count("hashpartitioning(customer_id")
     assert by_customer(got) == 0 < by_customer(plain)
+
+
+def test_base_features_are_deleted_once_the_matrix_is_settled(spark, sf):
+    from sablefin.plans.screening import _matrices
+    from sablefin.session import settled_paths, settled_under
+
+    held = set(settled_paths(spark))
+    train, test = _matrices(spark, sf)
+    more = [p for p in settled_paths(spark) if p not in held]
+    assert not any("/base-features-" in p for p in more)
+    assert [p for p in more if "/model-matrix-" in p] == settled_under(train) == settled_under(test)
+    assert train.count() > 0 and test.count() > 0
